@@ -106,11 +106,14 @@ def auc_exact(scored: DataFrame, label: str, score: str, ranges: int = 256) -> D
     by_score = scored.groupBy(F.col(score).cast("double").alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
+    # The cuts and the range sums read the same columns as the main branch, so that all three share
+    # one exchange of `by_score` and the scores are computed once.
     labelled = F.when(F.col("_pos") + F.col("_neg") > 0, F.col("_score"))
     cuts = by_score.agg(F.percentile_approx(labelled, [i / ranges for i in range(1, ranges)]))
     ranged = (
         by_score.withColumn("_cuts", cuts.scalar())
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_score"))))
+        # Never null: else the join below would infer a null filter and evaluate this on raw rows.
+        .withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col("_score"))), F.lit(0)))
         .drop("_cuts")
     )
     lower = Window.orderBy("_range").rowsBetween(*BEFORE)  # at most `ranges` rows
