@@ -25,7 +25,8 @@ def hash_uniform(key: str | Column, seed: int = S.SEED) -> Column:
     text = F.coalesce(column.cast("string"), F.lit(""))
     digest = F.md5(F.concat(text, F.lit(f":{seed}")))
     head = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("double")
-    return head / F.lit(float(16**HASH_DIGITS))
+    # Declared non-null, so that no join on a value made from it adds a null filter that hashes twice.
+    return F.coalesce(head / F.lit(float(16**HASH_DIGITS)), F.lit(0.0))
 
 
 def round_half_up(value: Column, digits: int) -> Column:

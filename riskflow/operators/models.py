@@ -5,7 +5,11 @@ of the external booster it stands in for. It is not the same algorithm: it has n
 gain and no regularisation, so its scores differ.
 """
 
-from pyspark import StorageLevel
+from contextlib import contextmanager
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -47,20 +51,25 @@ def boosted_trees(features: list[str], booster: dict, seed: int = S.SEED) -> Pip
     return Pipeline(stages=[assembler, trees])
 
 
+@contextmanager
+def held(view: DataFrame):
+    """Keep a view for several passes; spilled blocks go to disk and lost ones are recomputed."""
+    view.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield view
+    finally:
+        view.unpersist()
+
+
 def train(view: DataFrame, features: list[str], booster: dict, seed: int = S.SEED) -> PipelineModel:
     """Fit on a numeric view. Raises when only one class is present.
 
-    The view is read once per round and level, so it is held for the time of the fit; spilled
-    blocks go to disk and lost ones are recomputed. Every tenth round is checkpointed, which keeps
-    the lineage short.
+    Every tenth round is checkpointed, which keeps the lineage short.
     """
     ensure_checkpoint_dir(view.sparkSession)
-    held = view.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        class_sizes(held, "label")
-        return boosted_trees(features, booster, seed).fit(held)
-    finally:
-        held.unpersist()
+    with held(view):
+        class_sizes(view, "label")
+        return boosted_trees(features, booster, seed).fit(view)
 
 
 def predict(view: DataFrame, model: PipelineModel) -> DataFrame:
@@ -72,22 +81,36 @@ def predict(view: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
-def compare(view: DataFrame, boosters: dict[str, tuple[list[str], dict]], seed: int = S.SEED) -> DataFrame:
-    """One row (model, auc, n_train, n_test) per booster, all on the same split of the view."""
+def compare(
+    view: DataFrame, boosters: dict[str, tuple[list[str], dict]], seed: int = S.SEED, parallelism: int = 3
+) -> DataFrame:
+    """One row (model, auc, n_train, n_test) per booster, all on the same split of the view.
+
+    The fits run side by side: the many short jobs of one leave room for those of another.
+    """
     training, testing = hash_split(view, "From_Account", 0.8, seed)
-    n_train = sum(class_sizes(training, "label").values())
-    results = None
-    for name, (features, booster) in boosters.items():
-        model = train(valid_rows(training, features), features, booster, seed)
+    ensure_checkpoint_dir(view.sparkSession)
+
+    def fit(choice: tuple[list[str], dict]) -> PipelineModel:
+        features, booster = choice
+        return boosted_trees(features, booster, seed).fit(valid_rows(training, features))
+
+    with held(training):
+        n_train = sum(class_sizes(training, "label").values())
+        with ThreadPool(min(parallelism, len(boosters))) as pool:
+            models = pool.map(inheritable_thread_target(view.sparkSession)(fit), boosters.values())
+    results = []
+    for (name, (features, _)), model in zip(boosters.items(), models):
         scored = predict(valid_rows(testing, features), model)
-        row = auc_exact(scored, "IsLaundering", "LaunderingProbability").select(
-            F.lit(name).alias("model"),
-            "auc",
-            F.lit(n_train).cast("bigint").alias("n_train"),
-            (F.col("n_positive") + F.col("n_negative")).alias("n_test"),
+        results.append(
+            auc_exact(scored, "IsLaundering", "LaunderingProbability").select(
+                F.lit(name).alias("model"),
+                "auc",
+                F.lit(n_train).cast("bigint").alias("n_train"),
+                (F.col("n_positive") + F.col("n_negative")).alias("n_test"),
+            )
         )
-        results = row if results is None else results.unionByName(row)
-    return results
+    return reduce(DataFrame.unionByName, results)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
