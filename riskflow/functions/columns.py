@@ -16,6 +16,18 @@ def wall_clock(text: Column) -> Column:
     return F.when(shaped, F.translate(text, "/", "-").try_cast("timestamp_ntz"))
 
 
+def utc_instant(wall_clock_time: Column) -> Column:
+    """The instant at which a UTC clock shows a zone-free time, whatever the session's zone is."""
+    return F.concat(wall_clock_time.cast("string"), F.lit("Z")).cast("timestamp")
+
+
+def utc_wall_clock(instant: Column) -> Column:
+    """The zone-free time that a UTC clock shows at an instant."""
+    seconds = (F.unix_micros(instant) / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds)
+
+
 def hash_uniform(key: str | Column, seed: int = S.SEED) -> Column:
     """A number in [0, 1) that depends only on the key and the seed.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import hours_up_to, median_hour
+from riskflow.functions.columns import hours_up_to, median_hour, utc_instant, utc_wall_clock
 from riskflow.operators.scoring import score_batch_by_rule
 
 
@@ -20,7 +20,7 @@ def account_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 ho
     """
     amount = F.col("Amount_Paid")
     sums = (
-        stream.withColumn("Timestamp", F.col("Timestamp").cast("timestamp"))
+        stream.withColumn("Timestamp", utc_instant(F.col("Timestamp")))
         .withWatermark("Timestamp", delay)
         .groupBy(F.window("Timestamp", window).alias("_window"), "From_Account")
         .agg(
@@ -29,12 +29,12 @@ def account_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 ho
             F.max(amount).cast("double").alias("MaxAmount"),
             F.min(amount).cast("double").alias("MinAmount"),
             F.approx_count_distinct("Payment_Currency").alias("ApproxCurrencies"),
-            *hours_up_to(F.hour("Timestamp"), F.lit(1)),
+            *hours_up_to(F.col("Hour"), F.lit(1)),
         )
     )
     return sums.select(
-        F.col("_window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("_window.end").cast("timestamp_ntz").alias("window_end"),
+        utc_wall_clock(F.col("_window.start")).alias("window_start"),
+        utc_wall_clock(F.col("_window.end")).alias("window_end"),
         "From_Account",
         "TxnCount",
         "TotalAmount",
