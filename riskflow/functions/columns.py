@@ -1,7 +1,5 @@
 """Column expressions shared by the operators. All of them run in the JVM."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -76,9 +74,9 @@ def short_pattern_name(name: Column) -> Column:
     return F.regexp_replace(name, S.NAME_SUFFIX, "")
 
 
-def hours_up_to(hour: Column, weight: Column) -> list[Column]:
+def hours_up_to(hour: str, weight: str) -> list[Column]:
     """24 aggregates: total weight of rows whose hour is at most 0, 1, .. 23."""
-    return [F.sum(F.when(hour <= h, weight).otherwise(F.lit(0))).alias(f"_to{h}") for h in range(24)]
+    return [F.expr(f"sum(CASE WHEN {hour} <= {h} THEN {weight} ELSE 0L END) AS _to{h}") for h in range(24)]
 
 
 def median_hour() -> Column:
@@ -87,9 +85,8 @@ def median_hour() -> Column:
     The median is the number of leading hours that hold less than half of the rows.
     Exact for any row count, and its state is 24 numbers per key.
     """
-    total = F.col("_to23")
-    below = [(F.col(f"_to{h}") * 2 < total).cast("int") for h in range(23)]
-    return F.when(total > 0, reduce(lambda a, b: a + b, below))
+    below = " + ".join(f"int(2 * _to{h} < _to23)" for h in range(23))
+    return F.expr(f"CASE WHEN _to23 > 0 THEN {below} END")
 
 
 def sample_stddev(n: Column, total: Column, squares: Column, largest: Column, smallest: Column) -> Column:

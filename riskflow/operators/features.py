@@ -1,5 +1,8 @@
 """One feature row per sending account."""
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +83,7 @@ def _sums_known_categories(tx: DataFrame, categories: dict[str, list[str]], stdd
         F.min(amount).alias("_min"),
         _masked_count(CURRENCY, categories[CURRENCY]).alias("_currencies"),
         _masked_count(FORMAT, categories[FORMAT]).alias("_formats"),
-        *hours_up_to(F.col("Hour"), F.lit(1)),
+        *hours_up_to("Hour", "1L"),
     ]
     if stddev:
         aggregates.append(F.sum(_square(amount)).alias("_squares"))
@@ -88,29 +91,17 @@ def _sums_known_categories(tx: DataFrame, categories: dict[str, list[str]], stdd
 
 
 def _masked_count(column: str, values: list[str]) -> Column:
-    """Distinct non-null values of `column`, all of which must be in `values`."""
-    position = F.array_position(F.array(*[F.lit(v) for v in values]).cast("array<string>"), F.col(column))
-    checked = F.when(position > 0, position - 1).when(
-        position == 0, F.raise_error(F.concat(F.lit(f"{column} has a value outside the given list: "), F.col(column)))
-    )
-    counts = [
-        F.coalesce(
-            F.bit_count(
-                F.bit_or(
-                    F.when(
-                        F.floor(checked / MASK_BITS) == word,
-                        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(checked, F.lit(MASK_BITS)).cast("int")),
-                    )
-                )
-            ),
-            F.lit(0),
-        )
-        for word in range(max(1, -(-len(values) // MASK_BITS)))
-    ]
-    total = counts[0]
-    for more in counts[1:]:
-        total = total + more
-    return total.cast("bigint")
+    """Distinct non-null values of `column`, all of which must be in `values`: set bits in one or more words."""
+    known = F.from_json(F.lit(json.dumps(values)), "array<string>")  # folded to a constant
+    place = F.array_position(known, F.col(column)) - 1
+    stray = F.raise_error(F.concat(F.lit(f"{column} has a value outside the given list: "), F.col(column)))
+    place = F.when(place >= 0, place).when(place < 0, stray)
+    words = []
+    for first in range(0, max(1, len(values)), MASK_BITS):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place - first).cast("int"))
+        inside = (place >= first) & (place < first + MASK_BITS)
+        words.append(F.coalesce(F.bit_count(F.bit_or(F.when(inside, bit))), F.lit(0)))
+    return reduce(lambda a, b: a + b, words).cast("bigint")
 
 
 def _sums_any_categories(tx: DataFrame, stddev: bool) -> DataFrame:
@@ -138,7 +129,7 @@ def _sums_any_categories(tx: DataFrame, stddev: bool) -> DataFrame:
         F.min("_min").alias("_min"),
         F.count(CURRENCY).alias("_currencies"),
         F.count(FORMAT).alias("_formats"),
-        *hours_up_to(F.col("Hour"), F.col("_n")),
+        *hours_up_to("Hour", "_n"),
         *([once("_squares").alias("_squares")] if stddev else []),
     )
 

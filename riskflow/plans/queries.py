@@ -113,7 +113,8 @@ def labels_max(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features_with_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return labelled_features(_transfers(spark, sf), adapters.label_rows_from_events(_events(spark, sf)))
+    events = _events(spark, sf)
+    return labelled_features(adapters.transfers_from_events(events), adapters.label_rows_from_events(events))
 
 
 def features_with_bank_labels(spark: SparkSession, sf: str) -> DataFrame:

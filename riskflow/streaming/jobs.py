@@ -29,7 +29,7 @@ def account_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 ho
             F.max(amount).cast("double").alias("MaxAmount"),
             F.min(amount).cast("double").alias("MinAmount"),
             F.approx_count_distinct("Payment_Currency").alias("ApproxCurrencies"),
-            *hours_up_to(F.col("Hour"), F.lit(1)),
+            *hours_up_to("Hour", "1L"),
         )
     )
     return sums.select(
