@@ -35,10 +35,17 @@ def hash_uniform(key: str | Column, seed: int = S.SEED) -> Column:
     text = F.coalesce(column.cast("string"), F.lit(""))
     digest = F.md5(F.concat(text, F.lit(f":{seed}")))
     head = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("double")
-    # Declared non-null, so that no join on a value made from it adds a null filter that hashes twice.
     return F.coalesce(head / F.lit(float(16**HASH_DIGITS)), F.lit(0.0))
 
 
+def bucket_of(uniform: Column, buckets: int) -> Column:
+    """Which of `buckets` equal parts of [0, 1) a number lies in.
+
+    Declared non-null, so that a join on it adds no null filter that would hash every row again.
+    """
+    return F.coalesce(F.floor(uniform * buckets), F.lit(0).cast("bigint"))
+
+
 def round_half_up(value: Column, digits: int) -> Column:
     scale = F.lit(float(10**digits))
     return F.floor(value * scale + F.lit(0.5)).cast("double") / scale
@@ -56,9 +63,11 @@ def at_least(score: Column, threshold: float) -> Column:
 def pattern_header(line: Column) -> Column:
     """Pattern name on a BEGIN line, null on any other line.
 
-    The captured group is never empty on a match, so "" can only mean no match.
+    The plain substring test spares most lines the regular expression. The captured group is never
+    empty on a match, so "" can only mean no match.
     """
-    return F.nullif(F.regexp_extract(line, S.BEGIN_PATTERN, 1), F.lit(""))
+    name = F.regexp_extract(line, S.BEGIN_PATTERN, 1)
+    return F.when(line.contains(S.BEGIN_MARKER), F.nullif(name, F.lit("")))
 
 
 def is_end(line: Column) -> Column:

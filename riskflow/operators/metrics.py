@@ -95,13 +95,23 @@ def threshold_report(scored: DataFrame, label: str, score: str, thresholds: list
     return scored.agg(*counts).select(F.inline(F.array(*rows)))
 
 
-def auc_exact(scored: DataFrame, label: str, score: str, ranges: int = 256) -> DataFrame:
+def _range_of(score: str, steps: int) -> Column:
+    """How many of the sorted `_cuts` are at most the score: first in strides, then inside one stride.
+
+    Never null: else a join on it would infer a null filter and evaluate this on raw rows.
+    """
+    stride = f"size(filter(sequence({steps}, {steps * (steps - 1)}, {steps}), i -> _cuts[i - 1] <= {score}))"
+    rest = f"size(filter(slice(_cuts, {steps} * {stride} + 1, {steps - 1}), cut -> cut <= {score}))"
+    return F.expr(f"coalesce({steps} * {stride} + {rest}, 0)")
+
+
+def auc_exact(scored: DataFrame, label: str, score: str, steps: int = 16) -> DataFrame:
     """Area under the ROC curve without binning: one row (auc, n_positive, n_negative).
 
     Equals the share of (positive, negative) pairs ranked right, ties counting half. Rows are
-    first counted per distinct score. Scores are then cut into ranges holding about equally many
-    distinct scores; the negatives below a score are those of the lower ranges plus those below it
-    in its own range. Any cut gives the same result; an even one spreads the work.
+    first counted per distinct score. Scores are then cut into `steps` squared ranges holding about
+    equally many distinct scores; the negatives below a score are those of the lower ranges plus
+    those below it in its own range. Any cut gives the same result; an even one spreads the work.
     """
     by_score = scored.groupBy(F.col(score).cast("double").alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
@@ -109,13 +119,9 @@ def auc_exact(scored: DataFrame, label: str, score: str, ranges: int = 256) -> D
     # The cuts and the range sums read the same columns as the main branch, so that all three share
     # one exchange of `by_score` and the scores are computed once.
     labelled = F.when(F.col("_pos") + F.col("_neg") > 0, F.col("_score"))
+    ranges = steps * steps
     cuts = by_score.agg(F.percentile_approx(labelled, [i / ranges for i in range(1, ranges)]))
-    ranged = (
-        by_score.withColumn("_cuts", cuts.scalar())
-        # Never null: else the join below would infer a null filter and evaluate this on raw rows.
-        .withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col("_score"))), F.lit(0)))
-        .drop("_cuts")
-    )
+    ranged = by_score.withColumn("_cuts", cuts.scalar()).withColumn("_range", _range_of("_score", steps)).drop("_cuts")
     lower = Window.orderBy("_range").rowsBetween(*BEFORE)  # at most `ranges` rows
     below_range = (
         ranged.groupBy("_range")

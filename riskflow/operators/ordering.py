@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.functions.columns import bucket_of
+
 BEFORE = (Window.unboundedPreceding, -1)
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
@@ -63,7 +65,7 @@ def dense_index(
     then even whatever the data looks like. Rows are numbered inside a bucket; the start of a
     bucket is the row count of the earlier ones, at most `buckets` numbers per group.
     """
-    keyed = rows.withColumn("_u", uniform).withColumn("_bucket", F.floor(F.col("_u") * buckets))
+    keyed = rows.withColumn("_u", uniform).withColumn("_bucket", bucket_of(F.col("_u"), buckets))
     keys = [*groups, "_bucket"]
     before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(*BEFORE)
     everything = Window.partitionBy(*groups)

@@ -5,7 +5,7 @@ Input lines have the columns `source`, `segment`, `line_no`, `value` (see
 source are ordered by (segment, line_no).
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import is_dated, is_end, pattern_header, short_pattern_name
@@ -24,30 +24,38 @@ def without_end_lines(lines: DataFrame) -> DataFrame:
     return lines.where(~is_end(F.col("value")))
 
 
-def with_pattern(lines: DataFrame, stop_at_end: bool = False, span: int = FILE_SPAN) -> DataFrame:
-    """Add `Pattern_Type`, the name on the latest BEGIN line of the same source.
+def _event(stop_at_end: bool) -> Column:
+    """What a line does to the current name: sets it, clears it (""), or nothing (null)."""
+    header = pattern_header(F.col("value"))
+    if not stop_at_end:
+        return header
+    return F.when(is_end(F.col("value")), F.lit("")).otherwise(header)  # no real name is empty
 
-    By default a name holds until the next BEGIN line. With `stop_at_end` it holds until the END
-    line, which gets none itself.
-    """
-    value = F.col("value")
-    event = pattern_header(value)
-    if stop_at_end:
-        event = F.when(is_end(value), F.lit("")).otherwise(event)  # no real name is empty
+
+def _filled(lines: DataFrame, stop_at_end: bool, span: int) -> DataFrame:
     filled = fill_forward(
-        lines.withColumn("_event", event),
+        lines.withColumn("_event", _event(stop_at_end)),
         "_event",
         "Pattern_Type",
         source=["source"],
         segment="segment",
         order="line_no",
         span=span,
-    ).drop("_event")
+    )
     if stop_at_end:
         filled = filled.withColumn("Pattern_Type", F.nullif("Pattern_Type", F.lit("")))
     return filled
 
 
+def with_pattern(lines: DataFrame, stop_at_end: bool = False, span: int = FILE_SPAN) -> DataFrame:
+    """Add `Pattern_Type`, the name on the latest BEGIN line of the same source.
+
+    By default a name holds until the next BEGIN line. With `stop_at_end` it holds until the END
+    line, which gets none itself.
+    """
+    return _filled(lines, stop_at_end, span).drop("_event")
+
+
 def pattern_transactions(
     lines: DataFrame,
     label: str = "literal",
@@ -58,17 +66,16 @@ def pattern_transactions(
     """Dated lines split into fields, with pattern name and label.
 
     `label="literal"` marks every row 1; `label="field"` reads the eleventh field. Missing fields
-    of a short line are null. Lines that can neither name a block, end one nor become a row are
-    dropped before the fill, so they are never shuffled.
+    of a short line are null. Lines that neither change the name nor become a row are dropped
+    before the fill, so they are never shuffled.
     """
     if label not in ("literal", "field"):
         raise ValueError(f"label must be 'literal' or 'field', not {label!r}")
     value = F.col("value")
     row = is_dated(value) & ~is_end(value)
-    needed = row | pattern_header(value).isNotNull()
-    if stop_at_end:
-        needed = needed | is_end(value)
-    rows = with_pattern(lines.where(needed), stop_at_end, span).where(row)
+    kept = lines.where(row | _event(stop_at_end).isNotNull())
+    # A kept line without event is a row; only the few with one are tested again.
+    rows = _filled(kept, stop_at_end, span).where(F.col("_event").isNull() | row)
     parts = F.split("value", ",")
     name = short_pattern_name(F.col("Pattern_Type")) if clean_names else F.col("Pattern_Type")
     flag = F.lit(1) if label == "literal" else F.get(parts, F.lit(len(PATTERN_FIELDS))).try_cast("int")

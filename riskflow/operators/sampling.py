@@ -6,11 +6,12 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import hash_uniform
+from riskflow.functions.columns import bucket_of, hash_uniform
 from riskflow.operators.ordering import dense_index
 from riskflow.schemas import SEED
 
 COPIES_PER_ROW = 1 << 16  # copies that one row of an intermediate table may expand to
+COPIES_PER_TASK = 1 << 24
 
 
 def split_name(key: str, train: float, seed: int = SEED) -> Column:
@@ -71,7 +72,7 @@ def oversample_bootstrap(rows: DataFrame, label: str, key: str, seed: int = SEED
     draws = (
         spark.range(missing)
         .select(
-            F.floor(hash_uniform("id", seed) * size).alias("_index"),
+            bucket_of(hash_uniform("id", seed), size).alias("_index"),
             F.pmod(F.col("id"), F.lit(chunks)).alias("_chunk"),
         )
         .groupBy("_index", "_chunk")
@@ -79,7 +80,7 @@ def oversample_bootstrap(rows: DataFrame, label: str, key: str, seed: int = SEED
     )
     indexed = dense_index(rows.where(F.col(label) == small), hash_uniform(key, seed), [key], "_index")
     drawn = indexed.join(draws, "_index")
-    return rows.unionByName(_repeat(drawn, chunks, rows.columns))
+    return rows.unionByName(_repeat(drawn, missing, size, rows.columns))
 
 
 def oversample_replicate(rows: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
@@ -100,7 +101,7 @@ def oversample_replicate(rows: DataFrame, label: str, key: str, seed: int = SEED
         )
         .where("_copies > 0")
     )
-    return rows.unionByName(_repeat(chunked, chunks, rows.columns))
+    return rows.unionByName(_repeat(chunked, missing, size, rows.columns))
 
 
 def _shortfall(rows: DataFrame, label: str) -> tuple[int, int, int]:
@@ -109,8 +110,14 @@ def _shortfall(rows: DataFrame, label: str) -> tuple[int, int, int]:
     return small, sizes[small], sizes[1 - small] - sizes[small]
 
 
-def _repeat(rows: DataFrame, chunks: int, columns: list[str]) -> DataFrame:
-    """Each row `_copies` times. Many chunks of few rows are first spread over the tasks."""
-    if chunks > 1:
-        rows = rows.repartition("_index", "_chunk")
+def _repeat(rows: DataFrame, copies: int, size: int, columns: list[str]) -> DataFrame:
+    """Each row `_copies` times, `copies` in all, from `size` different rows.
+
+    Where few rows make many, adaptive execution would judge them by their own small size and merge
+    them into few tasks; a fixed number of partitions, set by the output, prevents that. It is
+    round-robin because a repartition on keys the rows are already placed by is optimised away.
+    """
+    if copies > 16 * size:
+        tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-copies // COPIES_PER_TASK))
+        rows = rows.repartition(tasks)
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*columns)

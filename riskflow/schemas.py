@@ -54,7 +54,8 @@ PATTERN_LABELS = T.StructType(
 )
 
 # Log markers and patterns.
-BEGIN_PATTERN = "BEGIN LAUNDERING ATTEMPT - (.+)"
+BEGIN_MARKER = "BEGIN LAUNDERING ATTEMPT - "
+BEGIN_PATTERN = BEGIN_MARKER + "(.+)"
 END_MARKER = "END LAUNDERING ATTEMPT"
 DATE_PATTERN = r"\d{4}/\d{2}/\d{2}"
 NAME_SUFFIX = ":.*"
