@@ -14,7 +14,7 @@ def fill_forward(
 ) -> DataFrame:
     """`out` = last non-null `event` at or before the row, inside its source.
 
-    Rows of a source are ordered by (segment, order). Each segment is filled on its own; the
+    Rows of a source are ordered by (segment, order); none of the three may be null. Each segment is filled on its own; the
     value standing at its start comes from one row per earlier segment. `span` is the width of
     the segment ranges in which those rows are chained first, so a source with very many
     segments is not chained in one task either.
@@ -55,7 +55,7 @@ def dense_index(
     uniform: Column,
     ties: list[str],
     out: str,
-    groups: tuple[str, ...] = (),
+    group: str | None = None,
     size: str | None = None,
     buckets: int = 1 << 16,
 ) -> DataFrame:
@@ -65,10 +65,12 @@ def dense_index(
     then even whatever the data looks like. Rows are numbered inside a bucket; the start of a
     bucket is the row count of the earlier ones, at most `buckets` numbers per group.
     """
-    keyed = rows.withColumn("_u", uniform).withColumn("_bucket", bucket_of(F.col("_u"), buckets))
-    keys = [*groups, "_bucket"]
-    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(*BEFORE)
-    everything = Window.partitionBy(*groups)
+    # Both keys are non-null, so the join below keeps every row, also those without a group value.
+    named = F.coalesce(F.col(group).cast("string"), F.lit("")) if group else F.lit("")
+    keyed = rows.withColumns({"_group": named, "_u": uniform}).withColumn("_bucket", bucket_of(F.col("_u"), buckets))
+    keys = ["_group", "_bucket"]
+    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(*BEFORE)
+    everything = Window.partitionBy("_group")
     starts = (
         keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_size"))
@@ -83,5 +85,5 @@ def dense_index(
         keyed.withColumn("_inside", inside)
         .join(starts, keys)
         .withColumn(out, F.col("_start") + F.col("_inside") - 1)
-        .drop("_u", "_bucket", "_inside", "_start")
+        .drop("_group", "_u", "_bucket", "_inside", "_start")
     )

@@ -27,7 +27,7 @@ def hash_split(rows: DataFrame, key: str, train: float = 0.8, seed: int = SEED)
 def stratified_split(rows: DataFrame, label: str, key: str, train: float = 0.7, seed: int = SEED) -> DataFrame:
     """Add `split` so that each class has round(train * size) training rows, exactly."""
     u = hash_uniform(key, seed)
-    ranked = dense_index(rows, u, [key], "_rank", groups=(label,), size="_class_size")
+    ranked = dense_index(rows, u, [key], "_rank", group=label, size="_class_size")
     take = F.floor(F.col("_class_size") * train + 0.5)
     return ranked.withColumn("split", F.when(F.col("_rank") < take, "train").otherwise("test")).drop(
         "_rank", "_class_size"

@@ -10,7 +10,13 @@ from riskflow.operators.labels import account_labels, features_with_labels
 from riskflow.operators.models import compare, load_model, numeric_view, save_model, train, valid_rows
 from riskflow.operators.patterns import pattern_labels, pattern_transactions
 from riskflow.operators.scoring import score_batch_by_model
-from riskflow.sources.readers import read_label_rows, read_pattern_lines, read_raw_transactions, union_sources
+from riskflow.sources.readers import (
+    read_label_rows,
+    read_pattern_lines,
+    read_raw_transactions,
+    read_scoring_batch,
+    union_sources,
+)
 from riskflow.sources.sinks import through_table, write_csv
 
 
@@ -68,6 +74,6 @@ def train_and_save(dataset: DataFrame, path: str, model: str = "gbt", booster: s
     save_model(train(view, features, S.BOOSTERS[booster]), path)
 
 
-def score_files(spark: SparkSession, batch: DataFrame, model_path: str, out: str) -> None:
-    """Score a batch with a saved model into a CSV folder."""
-    write_csv(score_batch_by_model(batch, load_model(model_path)), out)
+def score_files(spark: SparkSession, batch: str | list[str], model_path: str, out: str) -> None:
+    """Score CSV files with a saved model into a CSV folder."""
+    write_csv(score_batch_by_model(read_scoring_batch(spark, batch), load_model(model_path)), out)

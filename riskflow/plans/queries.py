@@ -216,8 +216,8 @@ def class_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = sampling.hash_split(_orders(spark, sf).select("transaction_id", "From_Account"), "transaction_id")
-    return union_sources({"train": train, "test": test}, "split")
+    rows = _orders(spark, sf).select("transaction_id", "From_Account")
+    return rows.withColumn("split", sampling.split_name("transaction_id", 0.8))
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:

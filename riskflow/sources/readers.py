@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from riskflow.schemas import ML_DATASET, PATTERN_LABELS, RAW_TRANSACTIONS
+from riskflow.schemas import DEFAULT_FEATURES, ML_DATASET, PATTERN_LABELS, RAW_TRANSACTIONS
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
@@ -26,6 +26,16 @@ def read_ml_dataset(spark: SparkSession, path: str, csv: bool = False) -> DataFr
     return read_csv(spark, path, ML_DATASET) if csv else spark.read.parquet(path)
 
 
+def read_scoring_batch(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV with any columns in any order. Feature columns become numbers, the rest stays text.
+
+    Only the header line is looked at; a value that is no number is null.
+    """
+    rows = require_columns(spark.read.csv(path, header=True), ["From_Account"])
+    present = [c for c in DEFAULT_FEATURES if c in rows.columns]
+    return rows.withColumns({c: F.col(c).try_cast("double") for c in present})
+
+
 def read_pattern_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines with `source` (file), `segment` (byte at which the split starts) and `line_no`.
 

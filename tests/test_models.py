@@ -8,6 +8,8 @@ from riskflow.operators.metrics import auc_exact
 from riskflow.plans import jobs
 from riskflow.sources.readers import read_ml_dataset
 from riskflow.sources.scratch import scratch_path
+from riskflow.sources.sinks import write_csv
+from riskflow.streaming.jobs import drain
 from tests.conftest import rows
 
 GBT = S.FEATURE_LISTS["gbt"]
@@ -64,6 +66,16 @@ def test_save_load_and_batch(spark, dataset, fitted, tmp_path):
     assert fresh.count() == 300 and fresh.where("LaunderingProbability IS NULL").count() == 0
 
 
+def test_stream_scored_by_model_equals_batch(spark, dataset, fitted, tmp_path):
+    batch = dataset.select("From_Account", "TotalAmount", "MaxAmount", "AvgAmount")
+    batch.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
+    scored = drain(
+        scoring.score_batch_by_model(stream, fitted[1]), str(tmp_path / "out"), str(tmp_path / "progress")
+    )
+    assert sorted(rows(scored)) == sorted(rows(scoring.score_batch_by_model(batch, fitted[1])))
+
+
 def test_gain_names_the_features_that_split(fitted):
     gain = models.feature_gain(fitted[0], fitted[1], GBT, scratch_path(fitted[0].sparkSession, "trees")).collect()
     assert gain and {r.feature for r in gain} <= {"TotalAmount", "AvgAmount", "MaxAmount", "MinAmount"}
@@ -102,6 +114,7 @@ def test_jobs_end_to_end(spark, tmp_path, monkeypatch):
     assert dataset.count() == 30 and dataset.where("IsLaundering = 1").count() == 9
     assert sorted(rows(read_ml_dataset(spark, at("dataset")))) == sorted(rows(dataset))
     jobs.train_and_save(dataset, at("model"), "boosted")
-    jobs.score_files(spark, dataset.drop("IsLaundering", "NumFormats"), at("model"), at("scores"))
+    write_csv(dataset.drop("IsLaundering", "NumFormats"), at("batch"))
+    jobs.score_files(spark, at("batch"), at("model"), at("scores"))
     scores = spark.read.csv(at("scores"), header=True)
     assert scores.count() == 30 and {"LaunderingProbability", "Prediction", "NumFormats"} <= set(scores.columns)

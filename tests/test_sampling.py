@@ -51,6 +51,11 @@ def test_stratified_split_is_exact_per_class(dataset, share):
     assert set(rows(again)) == set(rows(split))
 
 
+def test_rows_without_class_stay(spark):
+    df = spark.range(50).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 2).cast("int").alias("y"))
+    assert sampling.stratified_split(df, "y", "id").count() == 50
+
+
 def test_dense_index(dataset):
     found = dense_index(dataset, hash_uniform("From_Account"), ["From_Account"], "i", buckets=16).collect()
     assert sorted(r.i for r in found) == list(range(1000))

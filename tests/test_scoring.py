@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,18 @@ def test_stream_windows(spark, tmp_path):
     assert {str(r[0]) for r in found.select("window_end").collect()} == {"2024-01-02 00:00:00"}
 
 
-def test_scratch_paths_are_shared_and_unique(spark):
+def test_scratch_paths_follow_the_session_setting(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.endswith("/x")
+
+    class Conf:
+        def __init__(self, named):
+            self.get = lambda key, default: named if key == "spark.checkpoint.dir" else default
+
+    def session(named, master):
+        return SimpleNamespace(conf=Conf(named), sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_path(session("hdfs://shared/dir/", "yarn"), "x").startswith("hdfs://shared/dir/riskflow-")
+    assert scratch_path(session("/mnt/shared", "local[2]"), "x").startswith("/mnt/shared/riskflow-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session(None, "yarn"), "x")
