@@ -9,47 +9,32 @@ BEFORE = (Window.unboundedPreceding, -1)
 UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
-def fill_forward(
-    lines: DataFrame, event: str, out: str, *, source: list[str], segment: str, order: str, span: int
-) -> DataFrame:
+def fill_forward(lines: DataFrame, event: str, out: str, *, source: str, segment: str, order: str) -> DataFrame:
     """`out` = last non-null `event` at or before the row, inside its source.
 
-    Rows of a source are ordered by (segment, order); none of the three may be null. Each segment is filled on its own; the
-    value standing at its start comes from one row per earlier segment. `span` is the width of
-    the segment ranges in which those rows are chained first, so a source with very many
-    segments is not chained in one task either.
+    Rows of a source are ordered by (segment, order); none of the three may be null. Each segment
+    is filled on its own, and the value standing at its start comes from a table with one row per
+    segment. Only that table is chained per source: for a file it has a row per split, so a single
+    file of 30 TB in splits of 128 MB chains a quarter of a million short rows.
     """
-    keys = [*source, segment]
-    local = F.last(event, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(*UP_TO_HERE))
-    ends = lines.groupBy(*keys).agg(_last_value(event, order).alias("_end"))
-    carried = _value_at_start(ends, source, segment, span)
+    keys = [source, segment]
+    here = Window.partitionBy(*keys).orderBy(order).rowsBetween(*UP_TO_HERE)
+    earlier = Window.partitionBy(source).orderBy(segment).rowsBetween(*BEFORE)
+    last_event = F.max_by(event, F.when(F.col(event).isNotNull(), F.col(order)))
+    carried = (
+        lines.groupBy(*keys)
+        .agg(last_event.alias("_end"))
+        .select(*keys, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    )
+    # No broadcast hint: the table grows with the data, and is small enough only at run time.
     return (
-        lines.withColumn("_local", local)
+        lines.withColumn("_local", F.last(event, ignorenulls=True).over(here))
         .join(carried, keys, "left")
         .withColumn(out, F.coalesce("_local", "_carried"))
         .drop("_local", "_carried")
     )
 
 
-def _last_value(value: str, order: str) -> Column:
-    return F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
-
-
-def _value_at_start(ends: DataFrame, source: list[str], segment: str, span: int) -> DataFrame:
-    ends = ends.withColumn("_range", F.floor(F.col(segment) / span))
-    ranges = ends.groupBy(*source, "_range").agg(_last_value("_end", segment).alias("_range_end"))
-    before_range = Window.partitionBy(*source).orderBy("_range").rowsBetween(*BEFORE)
-    ranges = ranges.select(
-        *source, "_range", F.last("_range_end", ignorenulls=True).over(before_range).alias("_from_ranges")
-    )
-    before = Window.partitionBy(*source, "_range").orderBy(segment).rowsBetween(*BEFORE)
-    return (
-        ends.withColumn("_from_range", F.last("_end", ignorenulls=True).over(before))
-        .join(ranges, [*source, "_range"], "left")
-        .select(*source, segment, F.coalesce("_from_range", "_from_ranges").alias("_carried"))
-    )
-
-
 def dense_index(
     rows: DataFrame,
     uniform: Column,

@@ -12,8 +12,6 @@ from riskflow.functions.columns import is_dated, is_end, pattern_header, short_p
 from riskflow.operators.ordering import fill_forward
 from riskflow.schemas import PATTERN_FIELDS
 
-FILE_SPAN = 1 << 37  # bytes of a file whose splits are chained together: 1024 splits of 128 MB
-
 
 def with_header(lines: DataFrame) -> DataFrame:
     """Add `Pattern_Type`, set on BEGIN lines only."""
@@ -32,28 +30,21 @@ def _event(stop_at_end: bool) -> Column:
     return F.when(is_end(F.col("value")), F.lit("")).otherwise(header)  # no real name is empty
 
 
-def _filled(lines: DataFrame, stop_at_end: bool, span: int) -> DataFrame:
-    filled = fill_forward(
-        lines.withColumn("_event", _event(stop_at_end)),
-        "_event",
-        "Pattern_Type",
-        source=["source"],
-        segment="segment",
-        order="line_no",
-        span=span,
-    )
+def _filled(lines: DataFrame, stop_at_end: bool) -> DataFrame:
+    marked = lines.withColumn("_event", _event(stop_at_end))
+    filled = fill_forward(marked, "_event", "Pattern_Type", source="source", segment="segment", order="line_no")
     if stop_at_end:
         filled = filled.withColumn("Pattern_Type", F.nullif("Pattern_Type", F.lit("")))
     return filled
 
 
-def with_pattern(lines: DataFrame, stop_at_end: bool = False, span: int = FILE_SPAN) -> DataFrame:
+def with_pattern(lines: DataFrame, stop_at_end: bool = False) -> DataFrame:
     """Add `Pattern_Type`, the name on the latest BEGIN line of the same source.
 
     By default a name holds until the next BEGIN line. With `stop_at_end` it holds until the END
     line, which gets none itself.
     """
-    return _filled(lines, stop_at_end, span).drop("_event")
+    return _filled(lines, stop_at_end).drop("_event")
 
 
 def pattern_transactions(
@@ -61,7 +52,6 @@ def pattern_transactions(
     label: str = "literal",
     stop_at_end: bool = False,
     clean_names: bool = True,
-    span: int = FILE_SPAN,
 ) -> DataFrame:
     """Dated lines split into fields, with pattern name and label.
 
@@ -75,7 +65,7 @@ def pattern_transactions(
     row = is_dated(value) & ~is_end(value)
     kept = lines.where(row | _event(stop_at_end).isNotNull())
     # A kept line without event is a row; only the few with one are tested again.
-    rows = _filled(kept, stop_at_end, span).where(F.col("_event").isNull() | row)
+    rows = _filled(kept, stop_at_end).where(F.col("_event").isNull() | row)
     parts = F.split("value", ",")
     name = short_pattern_name(F.col("Pattern_Type")) if clean_names else F.col("Pattern_Type")
     flag = F.lit(1) if label == "literal" else F.get(parts, F.lit(len(PATTERN_FIELDS))).try_cast("int")

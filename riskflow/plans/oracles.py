@@ -316,6 +316,8 @@ b AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECED
 SELECT cast(sum(pos * (2 * below + neg)) AS double)
          / (cast(2 AS double) * cast(sum(pos) AS double) * cast(sum(neg) AS double)) AS auc,
        cast(sum(pos) AS bigint) AS n_positive, cast(sum(neg) AS bigint) AS n_negative FROM b""",
+    "model_roundtrip": f"""{DATASET}
+SELECT From_Account, 1 AS unchanged FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
     "csv_roundtrip": LABELLED,
     "stream_rule_score": BATCH,
     # Windows still open at the final watermark are not emitted.

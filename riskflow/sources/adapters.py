@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from riskflow.schemas import AMOUNT
 
 BANKS = 10
-LINES_PER_SEGMENT = 8192
-LOG_SPAN = LINES_PER_SEGMENT * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,40 +89,23 @@ def transfers_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def log_from_events(events: DataFrame) -> DataFrame:
-    """A pattern log: one source per bank, lines in event order, cut into segments by event id.
+    """A pattern log: one source per bank, lines in event order.
 
     Errors open a block, signups close it, other events are data lines. Views over 150 are cut
-    short, and amounts under 1 leave a field empty.
+    short, and amounts under 1 leave a field empty. Segment k holds the events k^2 to (k+1)^2 - 1,
+    so both the number of segments and their size grow with the root of the table.
     """
-    kind, value, payer = F.col("event_type"), F.col("value"), F.col("user_id")
-    text = lambda c: c.cast("string")
-    amount = text(value.cast("decimal(18,2)"))
-    stamp = F.date_format("ts", "yyyy/MM/dd HH:mm")
-    bank, payee = text(_bank(payer)), payer + 1
-    short = F.concat_ws(",", stamp, bank, text(payer))
-    full = F.concat_ws(
-        ",",
-        short,
-        text(_bank(payee)),
-        text(payee),
-        F.when(value >= 1, amount).otherwise(""),
-        "props",
-        amount,
-        "props",
-        kind,
-        F.when(value > 100, "1").otherwise("0"),
-    )
-    line = (
-        F.when(
-            kind == "error",
-            F.concat(F.lit("BEGIN LAUNDERING ATTEMPT - P"), text(payer % 8), F.lit(":  Max "), text(payer)),
-        )
-        .when(kind == "signup", F.lit("END LAUNDERING ATTEMPT - P"))
-        .when((kind == "view") & (value > 150), short)
-        .otherwise(full)
-    )
-    start = F.floor(F.col("event_id") / LINES_PER_SEGMENT) * LINES_PER_SEGMENT
-    return events.select(
-        bank.alias("source"), start.alias("segment"), F.col("event_id").alias("line_no"), line.alias("value")
-    )
-
+    bank = f"string(user_id % {BANKS})"
+    payee_bank = f"string((user_id + 1) % {BANKS})"
+    amount = "string(cast(value AS decimal(18,2)))"
+    short = f"concat_ws(',', date_format(ts, 'yyyy/MM/dd HH:mm'), {bank}, user_id)"
+    line = f"""CASE
+        WHEN event_type = 'error'
+        THEN concat('BEGIN LAUNDERING ATTEMPT - P', user_id % 8, ':  Max ', user_id)
+        WHEN event_type = 'signup' THEN 'END LAUNDERING ATTEMPT - P'
+        WHEN event_type = 'view' AND value > 150 THEN {short}
+        ELSE concat_ws(',', {short}, {payee_bank}, user_id + 1, CASE WHEN value >= 1 THEN {amount} ELSE '' END,
+                       props, {amount}, props, event_type, CASE WHEN value > 100 THEN '1' ELSE '0' END)
+        END AS value"""
+    segment = "coalesce(bigint(floor(sqrt(event_id))), 0L) AS segment"
+    return events.selectExpr(f"{bank} AS source", segment, "event_id AS line_no", line)

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskflow.operators import patterns, profiling
-from riskflow.sources.adapters import LOG_SPAN, log_from_events, table
+from riskflow.sources.adapters import log_from_events, table
 from riskflow.sources.readers import read_pattern_lines
 from tests.conftest import plan_of, rows
 
@@ -103,8 +103,7 @@ def test_fill_over_files_cut_into_small_splits(spark, tmp_path, stop_at_end):
     try:
         lines = read_pattern_lines(spark, str(tmp_path))
         assert lines.select("source", "segment").distinct().count() > 15
-        # A narrow span forces both levels of the carried values to matter.
-        filled = patterns.with_pattern(lines, stop_at_end, span=4096)
+        filled = patterns.with_pattern(lines, stop_at_end)
         found = {}
         for r in filled.orderBy("source", "segment", "line_no").collect():
             found.setdefault(r.source.rsplit("/", 1)[1], []).append((r.value, r.Pattern_Type))
@@ -121,13 +120,12 @@ LINE = st.sampled_from(["BEGIN LAUNDERING ATTEMPT - A", "BEGIN LAUNDERING ATTEMP
     st.lists(LINE, min_size=1, max_size=40),
     st.lists(LINE, max_size=20),
     st.integers(1, 7),
-    st.integers(1, 20),
     st.booleans(),
 )
-def test_fill_equals_sequential_fill(spark, first, second, width, span, stop_at_end):
+def test_fill_equals_sequential_fill(spark, first, second, width, stop_at_end):
     data = [(s, i // width * width, i, v) for s, t in (("p", first), ("q", second)) for i, v in enumerate(t)]
     lines = spark.createDataFrame(data, "source string, segment long, line_no long, value string").repartition(3)
-    filled = patterns.with_pattern(lines, stop_at_end, span=span)
+    filled = patterns.with_pattern(lines, stop_at_end)
     for source, text in (("p", first), ("q", second)):
         found = [r.Pattern_Type for r in filled.where(F.col("source") == source).orderBy("line_no").collect()]
         assert found == sequential_fill(text, stop_at_end)
@@ -135,7 +133,9 @@ def test_fill_equals_sequential_fill(spark, first, second, width, span, stop_at_
 
 def test_no_source_is_filled_in_one_task(spark, sf_dir):
     log = log_from_events(table(spark, sf_dir, "events"))
-    plan = plan_of(patterns.pattern_transactions(log, span=LOG_SPAN))
+    plan = plan_of(patterns.pattern_transactions(log))
     assert "SinglePartition" not in plan and "Python" not in plan
     windows = [line for line in plan.splitlines() if "Window [last(_event" in line]
     assert windows and all("segment" in w for w in windows)
+    # The line text crosses one exchange, the one its segment is filled in.
+    assert plan.count("Exchange hashpartitioning") == 3

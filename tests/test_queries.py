@@ -10,7 +10,7 @@ import __spark_entry__ as entry_points
 from riskflow.plans.oracles import ORACLES
 from riskflow.plans.queries import QUERIES
 
-ROWS_ONLY = {"gbt_train_score", "compare_models", "feature_gain", "model_roundtrip"}
+ROWS_ONLY = {"gbt_train_score", "compare_models", "feature_gain"}
 
 
 def canonical(records, columns):
