@@ -22,6 +22,8 @@ from riskflow.operators.metrics import auc_exact
 from riskflow.operators.sampling import class_sizes, hash_split
 from riskflow.sources.scratch import ensure_checkpoint_dir
 
+ROWS_PER_TASK = 100_000
+
 
 def numeric_view(dataset: DataFrame, features: list[str], label: str = "IsLaundering") -> DataFrame:
     """Account, features and label, numbers as double. What cannot be read as a number is null.
@@ -53,23 +55,27 @@ def boosted_trees(features: list[str], booster: dict, seed: int = S.SEED) -> Pip
 
 @contextmanager
 def held(view: DataFrame):
-    """Keep a view for several passes; spilled blocks go to disk and lost ones are recomputed."""
-    view.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep a view for several passes, with its number of rows; raises when only one class is present.
+
+    Spilled blocks go to disk and lost ones are recomputed. Rows are placed and ordered by account,
+    so that a fit sees the same order on every run, in as many partitions as their number calls
+    for: a fit runs hundreds of short jobs, and each pays for every partition.
+    """
+    n_rows = sum(class_sizes(view, "label").values())
+    tasks = -(-n_rows // ROWS_PER_TASK)
+    kept = view.repartition(tasks, "From_Account").sortWithinPartitions("From_Account")
+    kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield view
+        yield kept, n_rows
     finally:
-        view.unpersist()
+        kept.unpersist()
 
 
 def train(view: DataFrame, features: list[str], booster: dict, seed: int = S.SEED) -> PipelineModel:
-    """Fit on a numeric view. Raises when only one class is present.
-
-    Every tenth round is checkpointed, which keeps the lineage short.
-    """
+    """Fit on a numeric view. Every tenth round is checkpointed, which keeps the lineage short."""
     ensure_checkpoint_dir(view.sparkSession)
-    with held(view):
-        class_sizes(view, "label")
-        return boosted_trees(features, booster, seed).fit(view)
+    with held(view) as (kept, _):
+        return boosted_trees(features, booster, seed).fit(kept)
 
 
 def predict(view: DataFrame, model: PipelineModel) -> DataFrame:
@@ -91,12 +97,12 @@ def compare(
     training, testing = hash_split(view, "From_Account", 0.8, seed)
     ensure_checkpoint_dir(view.sparkSession)
 
-    def fit(choice: tuple[list[str], dict]) -> PipelineModel:
-        features, booster = choice
-        return boosted_trees(features, booster, seed).fit(valid_rows(training, features))
+    with held(training) as (kept, n_train):
+
+        def fit(choice: tuple[list[str], dict]) -> PipelineModel:
+            features, booster = choice
+            return boosted_trees(features, booster, seed).fit(valid_rows(kept, features))
 
-    with held(training):
-        n_train = sum(class_sizes(training, "label").values())
         with ThreadPool(min(parallelism, len(boosters))) as pool:
             models = pool.map(inheritable_thread_target(view.sparkSession)(fit), boosters.values())
     results = []

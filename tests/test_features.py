@@ -115,6 +115,16 @@ def test_value_outside_the_given_list_is_an_error(spark):
         account_features(tx, lists).collect()
 
 
+def test_odd_and_absent_category_values(spark):
+    odd = ['a"b', "c'd", "back\\slash", "tab\t,comma", "é漢", ""]
+    tx = spark.createDataFrame([("x", Decimal(1), v, None, 1) for v in odd + odd[:2]], SCHEMA)
+    lists = known_categories(tx)
+    assert lists == {"Payment_Currency": sorted(odd), "Payment_Format": []}
+    for categories in (None, lists):
+        row = account_features(tx, categories).first()
+        assert (row.NumCurrencies, row.NumFormats) == (6, 0)
+
+
 def test_plans(spark, sf_dir):
     from riskflow.sources.adapters import table, transfers_from_events
 
