@@ -5,6 +5,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     """Slices of a batch with about `limit` bytes of text each, one row at least."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     piece = np.cumsum(sizes.astype(np.int64)) // limit
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1), batch.num_rows]
     for start, stop in zip(cuts, cuts[1:], strict=False):

@@ -1,3 +1,26 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+#: White space of a line's ends in a bracket, for patterns.
+_SPACE = r"[\x20\x09-\x0D]"
+
+ORACLES["op2_line_dedup"] = rf"""
+WITH docs AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs
+), keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM lines
+), shared AS (
+  SELECT line_key, max(doc_id) AS keeper FROM keyed
+  WHERE length(line_key) >= 20 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT k.doc_id, k.line, k.place, coalesce(k.doc_id <> s.keeper, false) AS gone
+  FROM keyed k LEFT JOIN shared s USING (line_key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

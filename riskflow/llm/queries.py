@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe
+from riskflow.llm import bpe, line_dedup
 from riskflow.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,4 +21,12 @@ def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_line_dedup": op2_line_dedup,
+}
