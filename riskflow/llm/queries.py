@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, line_dedup
+from riskflow.llm import bpe, line_dedup, url_rules
 from riskflow.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -26,7 +26,15 @@ def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_url_rules(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return url_rules.judge_urls(pages, pages.join(labels, "page_id")).drop("url")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
+    "op3_url_rules": op3_url_rules,
 }
