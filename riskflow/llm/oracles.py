@@ -24,3 +24,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+#: Base 32 of a SHA-1: four characters from each five hexadecimal digits.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(digest, {5 * i + 1}, 5))::BIGINT >> {n}) & 31) + 1)::BIGINT, 1)"
+    for i in range(8)
+    for n in (15, 10, 5, 0)
+)
+
+ORACLES["op7_warc"] = f"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages
+), ranked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM ranked
+"""

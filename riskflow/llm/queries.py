@@ -4,8 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, line_dedup, url_rules
+from riskflow.llm import bpe, line_dedup, pii, url_rules, warc
 from riskflow.llm.common import table
+from riskflow.sources.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -33,8 +34,35 @@ def op3_url_rules(spark: SparkSession, sf: str) -> DataFrame:
     return url_rules.judge_urls(pages, pages.join(labels, "page_id")).drop("url")
 
 
+def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
+    rows = pii.find_pii(table(spark, sf, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "learned")).alias("spans"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(warc.archive_records(table(spark, sf, "pages")), path)
+    number = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1).try_cast("long")
+    response = F.col("type") == "response"
+    return warc.read_records(spark, path).select(
+        number("record_id").alias("page_id"),
+        F.when(response, F.col("payload_size")).otherwise(F.col("http_length")).alias("payload_bytes"),
+        F.when(response, warc.base32(F.col("payload_sha1"))).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_url_rules": op3_url_rules,
+    "op4_pii": op4_pii,
+    "op7_warc": op7_warc,
 }
