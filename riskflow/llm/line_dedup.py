@@ -80,6 +80,8 @@ def dropped_lines(docs: DataFrame, text: str = "text", min_chars: int = 20, min_
         .agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
         .where(F.col("docs") >= min_docs)
     )
+    # As a table its size is known when the join is planned: small, it leaves the rows of a common key where they are.
+    shared = materialize(shared, "line-keepers")
     late = waiting.join(shared, ["h1", "h2"]).where("doc <> keeper")
     return marked.where("NOT open").select(*ROW, "place").unionByName(late.select(*ROW, "place"))
 
