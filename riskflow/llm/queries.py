@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, line_dedup, pii, url_rules, warc
+from riskflow.llm import bpe, decontaminate, line_dedup, pii, url_rules, warc
 from riskflow.llm.common import table
 from riskflow.sources.scratch import scratch_path
 
@@ -59,10 +59,15 @@ def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op3_url_rules": op3_url_rules,
     "op4_pii": op4_pii,
     "op7_warc": op7_warc,
+    "op9_decontaminate": op9_decontaminate,
 }
