@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, decontaminate, line_dedup, pii, url_rules, warc
+from riskflow.llm import bpe, decontaminate, language, line_dedup, pii, url_rules, warc
 from riskflow.llm.common import table
 from riskflow.sources.scratch import scratch_path
 
@@ -45,6 +45,12 @@ def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.train(docs)
+    return language.identify(docs.select("doc_id", "text", language.held_out().alias("held_out")), model).drop("text")
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(warc.archive_records(table(spark, sf, "pages")), path)
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_url_rules": op3_url_rules,
     "op4_pii": op4_pii,
+    "op5_language": op5_language,
     "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
 }
