@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, decontaminate, language, line_dedup, pii, url_rules, warc
+from riskflow.llm import bpe, decontaminate, fingerprints, language, line_dedup, pii, url_rules, warc
 from riskflow.llm.common import table
 from riskflow.sources.scratch import scratch_path
 
@@ -69,6 +69,10 @@ def op9_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -77,4 +81,5 @@ QUERIES = {
     "op5_language": op5_language,
     "op7_warc": op7_warc,
     "op9_decontaminate": op9_decontaminate,
+    "op10_fingerprints": op10_fingerprints,
 }
