@@ -5,7 +5,7 @@ coin tossing shrinks the symbols to a few labels: a symbol's label is the lowest
 from its left neighbour, and that bit's value, four times over. A phrase starts at each label that is
 larger than those beside it, and is named by a hash of its symbols; the names are the symbols of the next
 level. A start depends on a few neighbours only, so equal substrings are cut alike inside, wherever they stand.
-The fingerprint is the smallest names of the third level, so likeness is the share of common names.
+The fingerprint is the smallest names of the second level, so likeness is the share of common names.
 """
 
 import hashlib
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import CHUNK_BYTES, chunks, text_or_empty
 
 #: Levels of phrases, rounds of coin tossing that bring 64 bits down to six labels, names in a fingerprint.
-LEVELS, TOSSES, NAMES = 3, 4, 64
+LEVELS, TOSSES, NAMES = 2, 4, 64
 #: Documents that are put in order together.
 BLOCK_ROWS = 4_000
 _BASE = 0x9E3779B97F4A7C15
