@@ -56,3 +56,51 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 
 def total_bytes(rows: DataFrame, column: str = "text") -> int:
     return rows.agg(F.sum(F.octet_length(column))).first()[0] or 0
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows in tables that cut no group, with the number of each row's group; `keys` are integers."""
+    pending: pa.Table | None = None
+
+    def numbered(rows: pa.Table) -> np.ndarray:
+        new = np.zeros(rows.num_rows, bool)
+        new[0] = True
+        for k in keys:
+            value = rows.column(k).to_numpy()
+            new[1:] |= value[1:] != value[:-1]
+        return np.cumsum(new) - 1
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = rows if pending is None else pa.concat_tables([pending, rows])
+        group = numbered(rows)
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:
+            yield rows.slice(0, cut), group[:cut]
+        pending = rows.slice(cut)
+    if pending is not None and pending.num_rows:
+        yield pending, numbered(pending)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, root for each node of the edges (a, b): root is the smallest node it is connected with.
+
+    In each round a node takes the smallest root among its own and its neighbours', then its root's root.
+    """
+    both = edges.select(F.col("a").alias("node"), F.col("b").alias("beside")).union(
+        edges.select(F.col("b").alias("node"), F.col("a").alias("beside"))
+    )
+    both = materialize(both.where("node <> beside").distinct(), "links")
+    least = F.least("node", F.min("beside"))
+    roots = materialize(both.groupBy("node").agg(least.alias("root")), "roots")
+    while True:
+        beside = both.join(roots.select(F.col("node").alias("beside"), "root"), "beside").groupBy("node").agg(F.min("root").alias("near"))
+        nearer = roots.join(beside, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        nearer = materialize(nearer, "nearer-roots")
+        further = nearer.select(F.col("node").alias("root"), F.col("root").alias("further"))
+        roots = nearer.join(further, "root").select("node", F.col("further").alias("root"), (F.col("further") != F.col("old")).alias("moved"))
+        roots = materialize(roots, "roots")
+        if roots.where("moved").isEmpty():
+            return roots.drop("moved")

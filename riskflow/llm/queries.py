@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, decontaminate, fingerprints, language, line_dedup, pii, url_rules, warc
+from riskflow.llm import bpe, decontaminate, fingerprints, jaccard_join, language, line_dedup, pii, url_rules, warc
 from riskflow.llm.common import table
 from riskflow.sources.scratch import scratch_path
 
@@ -73,6 +73,10 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -80,6 +84,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_language": op5_language,
     "op7_warc": op7_warc,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
 }
