@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, decontaminate, fingerprints, jaccard_join, language, line_dedup, pii, url_rules, warc
+from riskflow.llm import bpe, decontaminate, fingerprints, jaccard_join, language, line_dedup, pii, suffix_dedup, url_rules, warc
 from riskflow.llm.common import table
 from riskflow.sources.scratch import scratch_path
 
@@ -51,6 +51,11 @@ def op5_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text", language.held_out().alias("held_out")), model).drop("text")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(warc.archive_records(table(spark, sf, "pages")), path)
@@ -83,6 +88,7 @@ QUERIES = {
     "op3_url_rules": op3_url_rules,
     "op4_pii": op4_pii,
     "op5_language": op5_language,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
