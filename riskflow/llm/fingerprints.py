@@ -117,11 +117,14 @@ def _in_blocks(docs: DataFrame, text: str) -> DataFrame:
     ids = rows.select("place")
     blocks = max(1, -(-ids.count() // BLOCK_ROWS))
     cuts = ids.approxQuantile("place", [k / blocks for k in range(1, blocks)], 0.2 / blocks) if blocks > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    # A bucket is a growing function of the id, so blocks are ranges of ids however they round.
-    bucket = Bucketizer(splits=splits, inputCol="as_double", outputCol="block")
-    rows = bucket.transform(rows.withColumn("as_double", F.col("place").cast("double"))).drop("as_double")
-    rows = rows.withColumn("block", F.col("block").cast("int"))
+    rows = rows.withColumn("as_double", F.col("place").cast("double"))
+    if cuts:
+        # A bucket is a growing function of the id, so blocks are ranges of ids however they round.
+        splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
+        rows = Bucketizer(splits=splits, inputCol="as_double", outputCol="bucket").transform(rows)
+    else:
+        rows = rows.withColumn("bucket", F.lit(0))
+    rows = rows.withColumn("block", F.col("bucket").cast("int")).drop("as_double", "bucket")
     # One id for each block, of thousands of rows.
     largest = dict(sorted((r[0], r[1]) for r in rows.groupBy("block").agg(F.max("place")).collect()))
     order = list(largest)
