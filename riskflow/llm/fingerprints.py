@@ -5,7 +5,8 @@ coin tossing shrinks the symbols to a few labels: a symbol's label is the lowest
 from its left neighbour, and that bit's value, four times over. A phrase starts at each label that is
 larger than those beside it, and is named by a hash of its symbols; the names are the symbols of the next
 level. A start depends on a few neighbours only, so equal substrings are cut alike inside, wherever they stand.
-The fingerprint is the smallest names of the second level, so likeness is the share of common names.
+The fingerprint is the smallest names of the second level, each as often as it is met, so
+likeness is the share of common names.
 """
 
 import hashlib
@@ -75,6 +76,13 @@ def fingerprints(texts: list[str], names: int = NAMES) -> list[np.ndarray]:
     sizes = np.array([len(t) for t in texts], np.int64)
     symbols = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     found, text = phrases(symbols, np.repeat(np.arange(len(texts)), sizes))
+    # The same name counts again each time it is met in a text.
+    order = np.lexsort((found, text))
+    found, text = found[order], text[order]
+    new = np.concatenate([[True], (found[1:] != found[:-1]) | (text[1:] != text[:-1])])[: len(found)]
+    place = np.arange(len(found))
+    met = place - np.maximum.accumulate(np.where(new, place, 0))
+    found = _mix(found + met.astype(np.uint64) * np.uint64(_BASE))
     keys = np.unique((text.astype(np.uint64) << np.uint64(32)) | (found >> np.uint64(32)))
     owner, value = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
