@@ -64,7 +64,7 @@ def shingles(text: str) -> np.ndarray:
         return np.zeros(0, np.uint64)
     words = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
     size = min(SHINGLE, len(words))
-    total = np.full(len(words) - size + 1, np.uint64(size) * _POWERS[SHINGLE])
+    total = np.full(len(words) - size + 1, size * int(_POWERS[SHINGLE]) % (1 << 64), np.uint64)
     for k in range(size):
         total += words[k : len(words) - size + 1 + k] * _POWERS[k]
     return np.unique(_mix(total))
@@ -216,7 +216,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signed = np.stack([signature(x) for x in found])
             with np.errstate(over="ignore"):
                 bands = signed[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-                keys = np.arange(BANDS, dtype=np.uint64)[None, :] * _POWERS[4]
+                keys = np.arange(BANDS, dtype=np.uint64)[None, :] * _POWERS[SHINGLE]
                 for k in range(ROWS):
                     keys = _mix(keys + bands[:, :, k] * _POWERS[k])
             keys[[not len(x) for x in found]] = 0
