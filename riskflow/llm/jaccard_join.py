@@ -285,7 +285,8 @@ def similar_documents(docs: DataFrame, text: str = "text", threshold: float = TH
     placed = materialize(placed, "clustered-texts")
     bodies = keyed.select(F.col("doc_id").alias("first_id"), F.col("text").alias("body"), "h1", "h2")
     same = placed["first_id"].eqNullSafe(bodies["first_id"]) & (placed["h1"] == bodies["h1"]) & (placed["h2"] == bodies["h2"])
-    shingled = placed.join(bodies, same).select("cluster", "members", "text", "copies", "body")
+    # Sorted and merged whatever the sizes are, so that the plan doesn't change as the clusters grow.
+    shingled = placed.join(bodies.hint("merge"), same).select("cluster", "members", "text", "copies", "body")
     shingled = shingled.mapInArrow(_shingled, "cluster long, members long, text long, copies long, shingles binary")
     order = ["cluster", "low", "high"]
     verified = materialize(
