@@ -22,6 +22,8 @@ from riskflow.llm.common import CHUNK_BYTES, chunks, text_or_empty
 
 #: Levels of phrases, rounds of coin tossing that bring 64 bits down to six labels, names in a fingerprint.
 LEVELS, TOSSES, NAMES = 2, 4, 64
+#: Characters parsed at a time, whose arrays fit in a core's cache.
+PART = 64 << 10
 #: Documents that are put in order together.
 BLOCK_ROWS = 4_000
 _BASE = 0x9E3779B97F4A7C15
@@ -41,8 +43,9 @@ def _toss(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
         differs[1:] ^= label[:-1]
         differs[first] = 1
         differs[differs == 0] = 1  # beside a start, labels can come out equal
-        low = np.bitwise_count((differs & (~differs + np.uint64(1))) - np.uint64(1)).astype(np.uint64)
-        label = 2 * low + ((label >> low) & np.uint64(1))
+        low = np.bitwise_count((differs & (~differs + differs.dtype.type(1))) - differs.dtype.type(1))
+        # Labels are less than 128 after the first toss.
+        label = (2 * low + ((label >> low.astype(label.dtype)) & label.dtype.type(1)).astype(np.uint8)).astype(np.uint8)
     return label
 
 
@@ -51,18 +54,22 @@ def phrases(symbols: np.ndarray, text: np.ndarray, levels: int = LEVELS) -> tupl
 
     `symbols` are those of all texts one after another, `text` the number of each one's text.
     """
-    symbols = symbols.astype(np.uint64)
     for _ in range(levels):
         if not len(symbols):
             break
         at = np.flatnonzero(np.concatenate([[True], (symbols[1:] != symbols[:-1]) | (text[1:] != text[:-1])]))
-        repeats = np.diff(np.append(at, len(symbols))).astype(np.uint64)
-        symbols, text = _mix(symbols[at] + repeats * np.uint64(_BASE)), text[at]
+        repeats = np.diff(np.append(at, len(symbols)))
+        symbols, text = symbols[at], text[at]
+        if symbols.dtype != np.uint64:  # characters have 21 bits; runs from 2047 on count as equally long
+            symbols = symbols.astype(np.uint32) | (np.minimum(repeats, 2047).astype(np.uint32) << np.uint32(21))
+        else:
+            symbols = symbols + repeats.astype(np.uint64) * np.uint64(_BASE)
         first = np.concatenate([[True], text[1:] != text[:-1]])
         label = _toss(symbols, first)
-        over_left = np.concatenate([[False], label[1:] > label[:-1]])
-        over_right = np.concatenate([(label[:-1] > label[1:]) & ~first[1:], [False]])
-        at = np.flatnonzero(first | (over_left & over_right))
+        top = label[1:-1]
+        peak = np.zeros(len(label), bool)
+        peak[1:-1] = (top > label[:-2]) & (top > label[2:]) & ~first[2:]
+        at = np.flatnonzero(first | peak)
         sizes = np.diff(np.append(at, len(symbols)))
         place = np.arange(len(symbols)) - np.repeat(at, sizes)
         powers = np.cumprod(np.full(int(sizes.max()) + 1, _BASE, np.uint64))
@@ -74,16 +81,28 @@ def phrases(symbols: np.ndarray, text: np.ndarray, levels: int = LEVELS) -> tupl
 def fingerprints(texts: list[str], names: int = NAMES) -> list[np.ndarray]:
     """The smallest distinct names of each text, in order; an empty text has none."""
     sizes = np.array([len(t) for t in texts], np.int64)
+    found: list[np.ndarray] = []
+    start, size = 0, 0
+    for stop, more in enumerate(sizes, 1):
+        size += more
+        if size >= PART or stop == len(sizes):
+            found += _fingerprints(texts[start:stop], sizes[start:stop], names)
+            start, size = stop, 0
+    return found
+
+
+def _fingerprints(texts: list[str], sizes: np.ndarray, names: int) -> list[np.ndarray]:
     symbols = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     found, text = phrases(symbols, np.repeat(np.arange(len(texts)), sizes))
-    # The same name counts again each time it is met in a text.
-    order = np.lexsort((found, text))
-    found, text = found[order], text[order]
-    new = np.concatenate([[True], (found[1:] != found[:-1]) | (text[1:] != text[:-1])])[: len(found)]
-    place = np.arange(len(found))
+    # The same name counts again each time it is met in a text. Names keep 40 bits.
+    low = np.uint64(40)
+    keys = np.sort((text.astype(np.uint64) << low) | (found.astype(np.uint64) >> (np.uint64(64) - low)))
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+    place = np.arange(len(keys))
     met = place - np.maximum.accumulate(np.where(new, place, 0))
-    found = _mix(found + met.astype(np.uint64) * np.uint64(_BASE))
-    keys = np.unique((text.astype(np.uint64) << np.uint64(32)) | (found >> np.uint64(32)))
+    value = _mix((keys & np.uint64((1 << 40) - 1)) + met.astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(32)
+    keys = np.sort(((keys >> low) << np.uint64(32)) | value)
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
     owner, value = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
     return [value[a : min(b, a + names)] for a, b in zip(cuts, cuts[1:], strict=False)]
