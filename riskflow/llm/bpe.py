@@ -12,6 +12,7 @@ The vocabulary has word ends: the last character of a word and its end mark are
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from itertools import pairwise
 from pathlib import Path
@@ -26,8 +27,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from riskflow.llm.common import chunks
 
-#: Words that a task remembers the tokens of, and the longest of them. It forgets all when it has more.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 200_000, 64
+#: Words that a task remembers the tokens of, twice at most, and the longest of them.
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 250_000, 64
 #: The largest vocabulary file that is sent to the executors.
 LARGEST_VOCABULARY = 64 << 20
 #: Moves the character that ends a word away from the same character inside a word.
@@ -41,9 +42,9 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
-def _later_characters(pattern: str) -> tuple[re.Pattern, regex.Pattern]:
-    """Finds characters that only later Unicode versions than Python's call letters or numbers, and the
-    pattern without them: the tokenizers library takes them for neither.
+def _later_characters(pattern: str) -> tuple[str, re.Pattern, regex.Pattern]:
+    """The first of, and a pattern for, characters that only later Unicode versions than Python's call letters or
+    numbers, and the given pattern without them: the tokenizers library takes them for neither.
     """
     everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     later = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", everything) if unicodedata.category(c) == "Cn"]
@@ -53,7 +54,7 @@ def _later_characters(pattern: str) -> tuple[re.Pattern, regex.Pattern]:
     # Either class is used in sets of its own or in the set of what is neither.
     without = pattern.replace(r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{ranges}])+")
     without = without.replace(r"[\p{L}]+", rf"[\p{{L}}--[{ranges}]]+").replace(r"|[\p{N}]|", rf"|[\p{{N}}--[{ranges}]]|")
-    return re.compile(f"[{ranges}]"), regex.compile(without, regex.V1)
+    return chr(later[0]), re.compile(f"[{ranges}]"), regex.compile(without, regex.V1)
 
 
 class OffsetTable:
@@ -74,16 +75,20 @@ class OffsetTable:
 
 
 class _Remembered(dict):
-    """Words to the bytes of their token ids."""
+    """Words to the bytes of their token ids. Once it is full, words that aren't met again are forgotten."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        found = np.array(self.encode(word), np.int32).tobytes()
+        found = self.before.get(word)
+        if found is None:
+            found = array("i", self.encode(word)).tobytes()
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED_WORDS:
+                self.before = dict(self)
                 self.clear()
             self[word] = found
         return found
@@ -104,7 +109,7 @@ class Tokenizer:
             raise ValueError("this kind of vocabulary file is not supported")
         pattern = split["pattern"]["Regex"]
         self.words = regex.compile(pattern)
-        self.later_pattern, self.later_words = _later_characters(pattern)
+        self.first_later, self.later_pattern, self.later_words = _later_characters(pattern)
         suffix, vocabulary = model["end_of_word_suffix"], model["vocab"]
         self.to_characters = {b: ord(c) for b, c in _byte_characters().items()}
         self.special = {x["content"]: x["id"] for x in parts["added_tokens"]}
@@ -152,29 +157,26 @@ class Tokenizer:
         Both are taken apart, the later merge first. If at some point the parts that touch have a
         merge of their own that comes before the merge that was last undone, that one would have won.
         """
-        pair, limit = (a, b), len(self.text) + 1
-        known = self.compatible.get(pair)
-        if known is None:
-            known = True
-            while True:
-                if self.merged.get((a, b), limit) < limit:
-                    known = False
-                    break
-                # Undo the later of both merges; of equal ones the right, as merges go from left to right.
-                undo_left = a > b
-                if undo_left and self.right[a] != a:
-                    limit, a = a, self.right[a]
-                elif not undo_left and self.left[b] != b:
-                    limit, b = b + 1, self.left[b]
-                elif self.right[a] != a:
-                    limit, a = a, self.right[a]
-                elif self.left[b] != b:
-                    limit, b = b + 1, self.left[b]
-                else:
-                    break
-            if len(self.compatible) >= 4 * REMEMBERED_WORDS:
-                self.compatible.clear()
-            self.compatible[pair] = known
+        pair, limit, known = (a << 20) | b, len(self.text) + 1, True
+        while True:
+            if self.merged.get((a, b), limit) < limit:
+                known = False
+                break
+            # Undo the later of both merges; of equal ones the right, as merges go from left to right.
+            undo_left = a > b
+            if undo_left and self.right[a] != a:
+                limit, a = a, self.right[a]
+            elif not undo_left and self.left[b] != b:
+                limit, b = b + 1, self.left[b]
+            elif self.right[a] != a:
+                limit, a = a, self.right[a]
+            elif self.left[b] != b:
+                limit, b = b + 1, self.left[b]
+            else:
+                break
+        if len(self.compatible) >= 4 * REMEMBERED_WORDS:
+            self.compatible.clear()
+        self.compatible[pair] = known
         return known
 
     def encode_word(self, word: str) -> list[int]:
@@ -184,7 +186,9 @@ class Tokenizer:
         longest = [-1] * count
         for end, (size, n) in self.automaton.iter(spelled):
             longest[end - size + 1] = n  # ends grow, so the last one is the longest
-        size, shorter, keeps = self.size, self.shorter, self._keeps
+        if self.size[longest[0]] == count:
+            return [self.id[longest[0]]]  # a whole word that is a token is left by the merges
+        size, shorter, compatible = self.size, self.shorter, self.compatible
         open_at = bytearray(b"\1") * (count + 1)
         kept: list[int] = []
         place, token = 0, longest[0]
@@ -196,7 +200,13 @@ class Tokenizer:
                 token = shorter[token]
                 continue
             end = place + size[token]
-            if open_at[end] and (not kept or keeps(kept[-1], token)):
+            if not open_at[end]:
+                token = shorter[token]
+                continue
+            fits = compatible.get((kept[-1] << 20) | token) if kept else True
+            if fits is None:
+                fits = self._keeps(kept[-1], token)
+            if fits:
                 kept.append(token)
                 place = end
                 token = longest[place] if place < count else -1
@@ -208,7 +218,7 @@ class Tokenizer:
         # Characters are lowered one by one, so a sigma that ends a word stays the common one.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         words = self.words
-        if not text.isascii() and self.later_pattern.search(text):
+        if text and max(text) >= self.first_later and self.later_pattern.search(text):
             words = self.later_words
         return b"".join(map(self.remembered.__getitem__, words.findall(text)))
 
