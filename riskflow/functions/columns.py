@@ -96,10 +96,3 @@ def median_hour() -> Column:
     """
     below = " + ".join(f"int(2 * _to{h} < _to23)" for h in range(23))
     return F.expr(f"CASE WHEN _to23 > 0 THEN {below} END")
-
-
-def sample_stddev(n: Column, total: Column, squares: Column, largest: Column, smallest: Column) -> Column:
-    """Sample standard deviation from exact sums; null for one row, 0 when all values are equal."""
-    s, q = total.cast("double"), squares.cast("double")
-    spread = F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))
-    return F.when(n > 1, F.when(largest == smallest, F.lit(0.0)).otherwise(spread))

@@ -1,136 +1,62 @@
 """One feature row per sending account."""
 
-import json
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import hours_up_to, median_hour, sample_stddev
-
-CURRENCY, FORMAT = "Payment_Currency", "Payment_Format"
-MASK_BITS = 63
-
+from riskflow.functions.columns import hours_up_to, median_hour
 
-def known_categories(tx: DataFrame, at_most: int = 4 * MASK_BITS) -> dict[str, list[str]] | None:
-    """The currencies and formats that occur, or None when either has more than `at_most`.
-
-    One job over two columns; the driver receives at most 2 * at_most + 1 short strings.
-    """
-    pairs = [F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in (CURRENCY, FORMAT)]
-    seen = (
-        tx.select(F.explode(F.array(*pairs)).alias("p"))
-        .where("p.value IS NOT NULL")
-        .select("p.*")
-        .distinct()
-        .limit(2 * at_most + 1)
-        .collect()
-    )
-    found = {c: sorted(r.value for r in seen if r.name == c) for c in (CURRENCY, FORMAT)}
-    return found if all(len(v) <= at_most for v in found.values()) else None
+ACCOUNT, CURRENCY, FORMAT, HOUR = "From_Account", "Payment_Currency", "Payment_Format", "Hour"
 
 
-def account_features(
-    tx: DataFrame, categories: dict[str, list[str]] | None = None, stddev: bool = False
-) -> DataFrame:
+def account_features(tx: DataFrame, stddev: bool = False) -> DataFrame:
     """Counts, sums, extremes, distinct currencies and formats and typical hour per account.
 
-    With `categories` (all values the two columns take, see `known_categories`) distinct values
-    are bits of a mask, and the whole row comes from one hash aggregate: one shuffle of partial
-    sums. Without it, rows are first reduced per (account, currency), (account, format) and
-    (account, hour), which is exact for any number of categories and costs a second shuffle.
-    Neither way gathers values in a list, and partial sums keep a hot account spread over the map
-    tasks.
+    Rows are first reduced per (account, currency, format, hour), on the map side too, so a hot account
+    stays spread. What follows, also the two distinct counts, works on these far fewer rows. It is
+    exact for any number of categories, and reads the source once.
     """
-    if categories is None:
-        sums = _sums_any_categories(tx, stddev)
-    else:
-        sums = _sums_known_categories(tx, categories, stddev)
-    return _feature_columns(sums, stddev)
-
-
-def _feature_columns(sums: DataFrame, stddev: bool) -> DataFrame:
-    n, total = F.col("_n"), F.col("_sum")
-    columns = [
-        F.col("From_Account"),
-        n.alias("TxnCount"),
-        total.cast("double").alias("TotalAmount"),
-        (total.cast("double") / n).alias("AvgAmount"),
-        F.col("_max").cast("double").alias("MaxAmount"),
-        F.col("_min").cast("double").alias("MinAmount"),
-    ]
-    if stddev:
-        spread = sample_stddev(n, total, F.col("_squares"), F.col("_max"), F.col("_min"))
-        columns.append(spread.alias("StdDevAmount"))
-    columns += [
-        F.col("_currencies").alias("NumCurrencies"),
-        F.col("_formats").alias("NumFormats"),
-        median_hour().alias("HourBucket"),
-    ]
-    return sums.select(*columns)
-
-
-def _square(amount: Column) -> Column:
-    return (amount * amount).cast("decimal(38,4)")
-
-
-def _sums_known_categories(tx: DataFrame, categories: dict[str, list[str]], stddev: bool) -> DataFrame:
     amount = F.col("Amount_Paid")
-    aggregates = [
+    parts = tx.groupBy(ACCOUNT, CURRENCY, FORMAT, HOUR).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(amount).alias("_sum"),
         F.max(amount).alias("_max"),
         F.min(amount).alias("_min"),
-        _masked_count(CURRENCY, categories[CURRENCY]).alias("_currencies"),
-        _masked_count(FORMAT, categories[FORMAT]).alias("_formats"),
-        *hours_up_to("Hour", "1L"),
-    ]
+        *([F.avg(amount.cast("double")).alias("_mean"), F.var_pop(amount.cast("double")).alias("_variance")] if stddev else []),
+    )
     if stddev:
-        aggregates.append(F.sum(_square(amount)).alias("_squares"))
-    return tx.groupBy("From_Account").agg(*aggregates)
+        # Squared distances from the account's mean: those from the part's own, and of the part's from it.
+        # Nothing large is subtracted, so small spreads around large means stay right.
+        account = Window.partitionBy(ACCOUNT)
+        mean = F.sum(F.col("_n") * F.col("_mean")).over(account) / F.sum("_n").over(account)
+        between = F.col("_mean") - mean
+        parts = parts.withColumn("_squares", F.col("_n") * (F.col("_variance") + between * between))
+    n, total = F.sum("_n"), F.sum("_sum").cast("double")
+    spread = F.when(n > 1, F.when(F.max("_max") == F.min("_min"), F.lit(0.0)).otherwise(F.sqrt(F.sum("_squares") / (n - 1))))
+    sums = parts.groupBy(ACCOUNT).agg(
+        n.alias("TxnCount"),
+        total.alias("TotalAmount"),
+        (total / n).alias("AvgAmount"),
+        F.max("_max").cast("double").alias("MaxAmount"),
+        F.min("_min").cast("double").alias("MinAmount"),
+        *([spread.alias("StdDevAmount")] if stddev else []),
+        F.count_distinct(CURRENCY).alias("NumCurrencies"),
+        F.count_distinct(FORMAT).alias("NumFormats"),
+        *hours_up_to(HOUR, "_n"),
+    )
+    hours = [c for c in sums.columns if c.startswith("_to")]
+    return sums.withColumn("HourBucket", median_hour()).drop(*hours)
 
 
-def _masked_count(column: str, values: list[str]) -> Column:
-    """Distinct non-null values of `column`, all of which must be in `values`: set bits in one or more words."""
-    known = F.from_json(F.lit(json.dumps(values)), "array<string>")  # folded to a constant
-    place = F.array_position(known, F.col(column)) - 1
-    stray = F.raise_error(F.concat(F.lit(f"{column} has a value outside the given list: "), F.col(column)))
-    place = F.when(place >= 0, place).when(place < 0, stray)
-    words = []
-    for first in range(0, max(1, len(values)), MASK_BITS):
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place - first).cast("int"))
-        inside = (place >= first) & (place < first + MASK_BITS)
-        words.append(F.coalesce(F.bit_count(F.bit_or(F.when(inside, bit))), F.lit(0)))
-    return reduce(lambda a, b: a + b, words).cast("bigint")
+def typical_hours(tx: DataFrame) -> DataFrame:
+    """Only the typical hour per account: one aggregate of 24 counts."""
+    return tx.groupBy(ACCOUNT).agg(*hours_up_to(HOUR, "1L")).select(ACCOUNT, median_hour().alias("HourBucket"))
 
 
-def _sums_any_categories(tx: DataFrame, stddev: bool) -> DataFrame:
-    amount = F.col("Amount_Paid")
-    parts = tx.groupingSets(
-        [["From_Account", CURRENCY], ["From_Account", FORMAT], ["From_Account", "Hour"]],
-        "From_Account",
-        CURRENCY,
-        FORMAT,
-        "Hour",
-    ).agg(
-        (F.grouping("Hour") == 0).alias("_by_hour"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(amount).alias("_sum"),
-        F.max(amount).alias("_max"),
-        F.min(amount).alias("_min"),
-        *([F.sum(_square(amount)).alias("_squares")] if stddev else []),
-    )
-    # Each of the three groupings covers every row once; totals come from the one by hour.
-    once = lambda c: F.sum(F.when(F.col("_by_hour"), F.col(c)))
-    return parts.groupBy("From_Account").agg(
-        once("_n").alias("_n"),
-        once("_sum").alias("_sum"),
-        F.max("_max").alias("_max"),
-        F.min("_min").alias("_min"),
-        F.count(CURRENCY).alias("_currencies"),
-        F.count(FORMAT).alias("_formats"),
-        *hours_up_to("Hour", "_n"),
-        *([once("_squares").alias("_squares")] if stddev else []),
+def distinct_counts(tx: DataFrame) -> DataFrame:
+    """Only the distinct currencies and formats per account, from the distinct combinations of the three."""
+    combinations = tx.select(ACCOUNT, CURRENCY, FORMAT).distinct()
+    return combinations.groupBy(ACCOUNT).agg(
+        F.count_distinct(CURRENCY).alias("NumCurrencies"), F.count_distinct(FORMAT).alias("NumFormats")
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.operators.clean import clean_transactions
-from riskflow.operators.features import account_features, known_categories
+from riskflow.operators.features import account_features
 from riskflow.operators.labels import account_labels, features_with_labels
 from riskflow.operators.models import compare, load_model, numeric_view, save_model, train, valid_rows
 from riskflow.operators.patterns import pattern_labels, pattern_transactions
@@ -21,13 +21,8 @@ from riskflow.sources.sinks import through_table, write_csv
 
 
 def labelled_features(tx: DataFrame, label_rows: DataFrame, stddev: bool = False) -> DataFrame:
-    """Account features with labels, from clean transactions and label rows.
-
-    Reads two columns of the transactions first, to see whether their categories are few. A second
-    look at them, also when they come from text, costs less than shuffling every row three times.
-    """
-    features = account_features(tx, known_categories(tx), stddev)
-    return features_with_labels(features, account_labels(label_rows))
+    """Account features with labels, from clean transactions and label rows."""
+    return features_with_labels(account_features(tx, stddev), account_labels(label_rows))
 
 
 def extract_labels(spark: SparkSession, logs: str | list[str], out: str, stop_at_end: bool = False) -> None:

@@ -31,10 +31,7 @@ c AS (
 
 
 def _features(source: str, stddev: bool = False) -> str:
-    spread = """CASE WHEN count(*) > 1 THEN CASE WHEN max(amt) = min(amt) THEN cast(0 AS double) ELSE
-      sqrt(greatest(cast(sum(amt * amt) AS double)
-                    - cast(sum(amt) AS double) * cast(sum(amt) AS double) / count(*), 0.0) / (count(*) - 1))
-      END END AS StdDevAmount,"""
+    spread = "round(stddev_samp(cast(amt AS double)), 2) AS StdDevAmount,"
     return f"""f AS (
   SELECT from_account AS From_Account, count(*) AS TxnCount, cast(sum(amt) AS double) AS TotalAmount,
          cast(sum(amt) AS double) / count(*) AS AvgAmount, cast(max(amt) AS double) AS MaxAmount,
