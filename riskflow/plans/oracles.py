@@ -316,6 +316,18 @@ SELECT cast(sum(pos * (2 * below + neg)) AS double)
     "model_roundtrip": f"""{DATASET}
 SELECT From_Account, 1 AS unchanged FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
     "csv_roundtrip": LABELLED,
+    # Purchases have an amount that is no number.
+    "raw_csv_features": f"""WITH {EVENTS}, {RAW},
+t AS (SELECT from_account, paid AS amt, cur, fmt, hour(parsed) AS h FROM c WHERE fmt <> 'purchase'), {_features("t")}
+SELECT * FROM f""",
+    "reject_counts": f"""WITH {EVENTS}, {RAW}
+SELECT CASE WHEN paid IS NULL THEN 'no amount' ELSE 'amount not readable' END AS reason, count(*) AS n_rows
+FROM r WHERE paid IS NULL OR fmt = 'purchase' GROUP BY 1""",
+    "label_csv_join": f"""{PATTERN_ROWS},
+m AS (SELECT "From_Account", max(cast(flag AS integer)) AS top FROM pr GROUP BY 1),
+a AS (SELECT from_account AS acc, cast(quantile_disc(hour(ts), 0.5) AS integer) AS HourBucket FROM e GROUP BY 1)
+SELECT acc AS "From_Account", HourBucket, coalesce(top, 0) AS IsLaundering FROM a LEFT JOIN m ON m."From_Account" = a.acc""",
+    "batch_csv_score": BATCH,
     "stream_rule_score": BATCH,
     # Windows still open at the final watermark are not emitted.
     "stream_window_features": f"""WITH {EVENTS}

@@ -9,13 +9,21 @@ from riskflow import schemas as S
 from riskflow.functions.columns import wall_clock
 from riskflow.operators import labels, metrics, models, patterns, profiling, sampling, scoring
 from riskflow.operators.clean import clean_transactions as clean
+from riskflow.operators.clean import reject_counts as reject_counts_of
 from riskflow.operators.features import account_features as features_of
 from riskflow.operators.features import account_totals, typical_hours
 from riskflow.operators.features import distinct_counts as distinct_counts_of
 from riskflow.plans.jobs import compare_models as compare_boosters
 from riskflow.plans.jobs import labelled_features
 from riskflow.sources import adapters
-from riskflow.sources.readers import read_csv, read_pattern_lines, union_sources
+from riskflow.sources.readers import (
+    read_csv,
+    read_label_rows,
+    read_pattern_lines,
+    read_raw_transactions,
+    read_scoring_batch,
+    union_sources,
+)
 from riskflow.sources.scratch import scratch_path
 from riskflow.sources.sinks import through_table, write_csv, write_lines
 from riskflow.streaming.jobs import account_windows, drain, score_stream
@@ -363,6 +371,44 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, S.ML_DATASET)
 
 
+def _raw_file(spark: SparkSession, sf: str) -> str:
+    """The raw transfers as a folder of CSV files, with amounts of purchases spoilt."""
+    path = scratch_path(spark, "raw")
+    paid = F.col("Amount_Paid").cast("string")
+    spoilt = F.when(F.col("Payment_Format") == "purchase", F.concat(paid, F.lit(" EUR"))).otherwise(paid)
+    rows = _raw(spark, sf).withColumn("Amount_Paid", spoilt)
+    write_csv(rows.select(*[f.name for f in S.RAW_TRANSACTIONS]), path)
+    return path
+
+
+def raw_csv_features(spark: SparkSession, sf: str) -> DataFrame:
+    """From raw files to features, through the library's reader and cleaning."""
+    return features_of(clean(read_raw_transactions(spark, _raw_file(spark, sf))))
+
+
+def reject_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return reject_counts_of(read_raw_transactions(spark, _raw_file(spark, sf)))
+
+
+def label_csv_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Label files as the extractor writes them, read back and joined to features."""
+    path = scratch_path(spark, "labels")
+    write_csv(patterns.pattern_labels(_pattern_rows(spark, sf, label="field")), path)
+    found = labels.account_labels(read_label_rows(spark, path))
+    return labels.features_with_labels(typical_hours(_transfers(spark, sf)), found)
+
+
+def batch_csv_score(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch in two folders of files whose columns have another order."""
+    batch = _batch(_orders(spark, sf))
+    paths = [scratch_path(spark, "batch") for _ in range(2)]
+    half = F.col("transaction_id") % 2
+    write_csv(batch.where(half == 0), paths[0])
+    write_csv(batch.where(half == 1).select(*reversed(batch.columns)), paths[1])
+    scored = scoring.score_batch_by_rule(read_scoring_batch(spark, paths), "TotalAmount", "transaction_id")
+    return scored.withColumn("transaction_id", F.col("transaction_id").cast("long"))
+
+
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     schema = adapters.table(spark, sf, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
@@ -434,6 +480,10 @@ QUERIES: dict[str, Query] = {
         feature_gain,
         model_roundtrip,
         csv_roundtrip,
+        raw_csv_features,
+        reject_counts,
+        label_csv_join,
+        batch_csv_score,
         stream_rule_score,
         stream_window_features,
     )

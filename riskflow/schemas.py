@@ -5,12 +5,13 @@ Everything in this file is a fixed value that results depend on.
 
 from pyspark.sql import types as T
 
-# Money is decimal so that sums are exact and do not depend on task order. Six
-# fractional digits hold crypto-currency amounts, fourteen integer digits the rest.
-AMOUNT = T.DecimalType(20, 6)
+# Money is decimal so that sums are exact and do not depend on task order. Eight
+# fractional digits hold crypto-currency amounts, twenty integer digits the rest.
+AMOUNT = T.DecimalType(28, 8)
 
 # Raw transfer files, by position. The file repeats the header "Account", so the
-# names are declared here instead of being taken from the header line.
+# names are declared here instead of being taken from the header line. Amounts are text here:
+# one that doesn't fit is rejected and counted, not lost on the way.
 RAW_TRANSACTIONS = T.StructType(
     [
         T.StructField("Timestamp_str", T.StringType()),
@@ -18,9 +19,9 @@ RAW_TRANSACTIONS = T.StructType(
         T.StructField("From_Account", T.StringType()),
         T.StructField("To_Bank", T.StringType()),
         T.StructField("To_Account", T.StringType()),
-        T.StructField("Amount_Received", AMOUNT),
+        T.StructField("Amount_Received", T.StringType()),
         T.StructField("Receiving_Currency", T.StringType()),
-        T.StructField("Amount_Paid", AMOUNT),
+        T.StructField("Amount_Paid", T.StringType()),
         T.StructField("Payment_Currency", T.StringType()),
         T.StructField("Payment_Format", T.StringType()),
         T.StructField("Is_Laundering", T.IntegerType()),

@@ -1,6 +1,7 @@
-"""Readers. Schemas are declared, so no file is read twice to guess its types."""
+"""Readers. Files whose column names are unique are read by name; a file with other columns fails."""
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,24 +15,73 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) ->
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=True)
 
 
+def read_named_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType, optional: tuple[str, ...] = ()
+) -> DataFrame:
+    """CSV with a header line; columns are taken by name, in the order of `schema`.
+
+    Unreadable values are null. A column that is absent fails, or is null if it is `optional`. All files
+    must have the same header; Spark checks each one.
+    """
+    rows = spark.read.csv(path, header=True, enforceSchema=False)
+    require_columns(rows, [f.name for f in schema if f.name not in optional])
+    return rows.select(
+        *[
+            (F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def read_raw_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw transfers. Two headers are equal, so columns go by position. Amounts stay text, see `clean`."""
     return read_csv(spark, path, RAW_TRANSACTIONS)
 
 
 def read_label_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return read_csv(spark, path, PATTERN_LABELS)
+    """Label rows, with or without the account column; without it the account is null."""
+    return read_named_csv(spark, path, PATTERN_LABELS, optional=("From_Account",))
 
 
 def read_ml_dataset(spark: SparkSession, path: str, csv: bool = False) -> DataFrame:
-    return read_csv(spark, path, ML_DATASET) if csv else spark.read.parquet(path)
+    """A dataset as `build_dataset` writes it, or the same as CSV with or without the spread."""
+    if not csv:
+        return spark.read.parquet(path)
+    given = spark.read.csv(path, header=True, enforceSchema=False).columns
+    spread = StructType().add("StdDevAmount", "double")
+    return read_named_csv(spark, path, StructType([*ML_DATASET, *(spread if "StdDevAmount" in given else [])]))
+
+
+def _files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The files below a path, those with the same header line together.
+
+    One pass over the text; the driver receives a line for each file.
+    """
+    path = [path] if isinstance(path, str) else path
+    first = F.min_by("value", "line_no").alias("header")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("line_no"),
+        "value",
+    )
+    groups: dict[str, list[str]] = {}
+    for file, header in sorted(map(tuple, lines.groupBy("file").agg(first).collect())):
+        groups.setdefault(header, []).append(unquote(file))
+    return list(groups.values())
 
 
 def read_scoring_batch(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with any columns in any order. Feature columns become numbers, the rest stays text.
+    """CSV with any columns in any order, also another order in each file.
 
-    Only the header line is looked at; a value that is no number is null.
+    Feature columns become numbers, the rest stays text; a value that is no number is null. A column that
+    only some files have is null for the others.
     """
-    rows = require_columns(spark.read.csv(path, header=True), ["From_Account"])
+    groups = [spark.read.csv(files, header=True, enforceSchema=False) for files in _files_by_header(spark, path)]
+    if not groups:
+        raise ValueError(f"no file at {path}")
+    for rows in groups:
+        require_columns(rows, ["From_Account"])
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
     present = [c for c in DEFAULT_FEATURES if c in rows.columns]
     return rows.withColumns({c: F.col(c).try_cast("double") for c in present})
 
@@ -58,6 +108,9 @@ def require_columns(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def union_sources(sources: dict[str, DataFrame], name: str = "origin") -> DataFrame:
-    """All rows of all sources, each marked with the name of its source."""
+    """All rows of all sources, each marked with the name of its source.
+
+    Pattern lines of two sources may have equal `source` values; fills keep them apart by this mark.
+    """
     marked = [rows.withColumn(name, F.lit(key)) for key, rows in sources.items()]
     return reduce(DataFrame.unionByName, marked)
