@@ -1,5 +1,7 @@
 """Binary-classifier metrics as DataFrame queries. Labels and predictions are 0 or 1."""
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,16 +107,28 @@ def _range_of(score: str, steps: int) -> Column:
     return F.expr(f"coalesce({steps} * {stride} + {rest}, 0)")
 
 
-def auc_exact(scored: DataFrame, label: str, score: str, steps: int = 16) -> DataFrame:
-    """Area under the ROC curve without binning: one row (auc, n_positive, n_negative).
+def auc_exact(scored: DataFrame, label: str, score: str, steps: int | None = None) -> DataFrame:
+    """Area under the ROC curve without binning: one row (auc, n_positive, n_negative, n_unscored).
+
+    Rows without a score, or with NaN, are counted in `n_unscored` only. `steps` squared is at least the
+    session's number of shuffle partitions unless it is given.
 
     Equals the share of (positive, negative) pairs ranked right, ties counting half. Rows are
     first counted per distinct score. Scores are then cut into `steps` squared ranges holding about
     equally many distinct scores; the negatives below a score are those of the lower ranges plus
     those below it in its own range. Any cut gives the same result; an even one spreads the work.
     """
+    if steps is None:
+        steps = max(4, isqrt(int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1) + 1)
     by_score = scored.groupBy(F.col(score).cast("double").alias("_score")).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
+        F.count_if(F.col(label) == 1).alias("_all_pos"), F.count_if(F.col(label) == 0).alias("_all_neg")
+    )
+    unscored = F.isnull("_score") | F.isnan("_score")
+    by_score = by_score.select(
+        "_score",
+        F.when(unscored, 0).otherwise(F.col("_all_pos")).alias("_pos"),
+        F.when(unscored, 0).otherwise(F.col("_all_neg")).alias("_neg"),
+        F.when(unscored, F.col("_all_pos") + F.col("_all_neg")).otherwise(0).alias("_un"),
     )
     # The cuts and the range sums read the same columns as the main branch, so that all three share
     # one exchange of `by_score` and the scores are computed once.
@@ -136,11 +150,16 @@ def auc_exact(scored: DataFrame, label: str, score: str, steps: int = 16) -> Dat
     totals = (
         ranged.withColumn("_below_inside", F.sum("_neg").over(inside))
         .join(below_range, "_range")
-        .agg(F.sum(won).alias("_won"), F.sum("_pos").alias("n_positive"), F.sum("_neg").alias("n_negative"))
+        .agg(
+            F.sum(won).alias("_won"),
+            F.sum("_pos").alias("n_positive"),
+            F.sum("_neg").alias("n_negative"),
+            F.sum("_un").alias("n_unscored"),
+        )
     )
     positive, negative = F.col("n_positive"), F.col("n_negative")
     both = F.when(
         (positive > 0) & (negative > 0),
         F.col("_won").cast("double") / (2.0 * positive.cast("double") * negative.cast("double")),
     ).otherwise(F.raise_error(F.lit("AUC needs rows of both classes")).cast("double"))
-    return totals.select(both.alias("auc"), "n_positive", "n_negative")
+    return totals.select(both.alias("auc"), "n_positive", "n_negative", "n_unscored")

@@ -22,8 +22,6 @@ from riskflow.operators.metrics import auc_exact
 from riskflow.operators.sampling import class_sizes, hash_split
 from riskflow.sources.scratch import ensure_checkpoint_dir
 
-ROWS_PER_TASK = 100_000
-
 
 def numeric_view(dataset: DataFrame, features: list[str], label: str = "IsLaundering") -> DataFrame:
     """Account, features and label, numbers as double. What cannot be read as a number is null.
@@ -55,18 +53,18 @@ def boosted_trees(features: list[str], booster: dict, seed: int = S.SEED) -> Pip
 
 @contextmanager
 def held(view: DataFrame):
-    """Keep a view for several passes, with its number of rows; raises when only one class is present.
+    """Keep a view for several passes; raises when only one class is present.
 
     Spilled blocks go to disk and lost ones are recomputed. Rows are placed and ordered by account,
-    so that a fit sees the same order on every run, in as many partitions as their number calls
-    for: a fit runs hundreds of short jobs, and each pays for every partition.
+    so that a fit sees the same order on every run, in as many partitions as the session shuffles to: a fit runs
+    hundreds of short jobs, and each pays for every partition.
     """
-    n_rows = sum(class_sizes(view, "label").values())
-    tasks = -(-n_rows // ROWS_PER_TASK)
+    tasks = int(view.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = view.repartition(tasks, "From_Account").sortWithinPartitions("From_Account")
     kept.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield kept, n_rows
+        class_sizes(kept, "label")
+        yield kept
     finally:
         kept.unpersist()
 
@@ -74,7 +72,7 @@ def held(view: DataFrame):
 def train(view: DataFrame, features: list[str], booster: dict, seed: int = S.SEED) -> PipelineModel:
     """Fit on a numeric view. Every tenth round is checkpointed, which keeps the lineage short."""
     ensure_checkpoint_dir(view.sparkSession)
-    with held(view) as (kept, _):
+    with held(view) as kept:
         return boosted_trees(features, booster, seed).fit(kept)
 
 
@@ -90,30 +88,37 @@ def predict(view: DataFrame, model: PipelineModel) -> DataFrame:
 def compare(
     view: DataFrame, boosters: dict[str, tuple[list[str], dict]], seed: int = S.SEED, parallelism: int = 3
 ) -> DataFrame:
-    """One row (model, auc, n_train, n_test) per booster, all on the same split of the view.
+    """One row (model, auc, n_train, n_test, n_dropped) per booster, all on the same split of the view.
 
-    The fits run side by side: the many short jobs of one leave room for those of another.
+    A booster learns from and is tested on the rows that have all its features; `n_dropped` counts the others. The
+    fits run side by side: the many short jobs of one leave room for those of another.
     """
     training, testing = hash_split(view, "From_Account", 0.8, seed)
     ensure_checkpoint_dir(view.sparkSession)
 
-    with held(training) as (kept, n_train):
+    with held(training) as kept:
 
-        def fit(choice: tuple[list[str], dict]) -> PipelineModel:
+        def fit(choice: tuple[list[str], dict]) -> tuple[PipelineModel, int]:
             features, booster = choice
-            return boosted_trees(features, booster, seed).fit(valid_rows(kept, features))
+            usable = valid_rows(kept, features)
+            return boosted_trees(features, booster, seed).fit(usable), sum(class_sizes(usable, "label").values())
 
         with ThreadPool(min(parallelism, len(boosters))) as pool:
             models = pool.map(inheritable_thread_target(view.sparkSession)(fit), boosters.values())
     results = []
-    for (name, (features, _)), model in zip(boosters.items(), models):
+    for (name, (features, _)), (model, n_train) in zip(boosters.items(), models):
         scored = predict(valid_rows(testing, features), model)
+        missing = F.greatest(*[F.col(f).isNull().cast("int") for f in features])
+        dropped = view.agg(F.coalesce(F.sum(missing), F.lit(0)).alias("n_dropped"))
         results.append(
-            auc_exact(scored, "IsLaundering", "LaunderingProbability").select(
+            auc_exact(scored, "IsLaundering", "LaunderingProbability")
+            .crossJoin(dropped)  # one row each
+            .select(
                 F.lit(name).alias("model"),
                 "auc",
                 F.lit(n_train).cast("bigint").alias("n_train"),
                 (F.col("n_positive") + F.col("n_negative")).alias("n_test"),
+                "n_dropped",
             )
         )
     return reduce(DataFrame.unionByName, results)

@@ -32,7 +32,10 @@ def _event(stop_at_end: bool) -> Column:
 
 def _filled(lines: DataFrame, stop_at_end: bool) -> DataFrame:
     marked = lines.withColumn("_event", _event(stop_at_end))
-    filled = fill_forward(marked, "_event", "Pattern_Type", source="source", segment="segment", order="line_no")
+    # Lines of several origins may have equal sources, see `union_sources`.
+    origin = F.struct("origin", "source") if "origin" in lines.columns else F.col("source")
+    marked = marked.withColumn("_source", origin)
+    filled = fill_forward(marked, "_event", "Pattern_Type", source="_source", segment="segment", order="line_no").drop("_source")
     if stop_at_end:
         filled = filled.withColumn("Pattern_Type", F.nullif("Pattern_Type", F.lit("")))
     return filled

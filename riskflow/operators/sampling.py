@@ -3,11 +3,11 @@
 `key` names a column that identifies a row. All randomness is a hash of it.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import bucket_of, hash_uniform
-from riskflow.operators.ordering import dense_index
+from riskflow.operators.ordering import BEFORE, dense_index
 from riskflow.schemas import SEED
 
 COPIES_PER_ROW = 1 << 16  # copies that one row of an intermediate table may expand to
@@ -25,13 +25,44 @@ def hash_split(rows: DataFrame, key: str, train: float = 0.8, seed: int = SEED)
 
 
 def stratified_split(rows: DataFrame, label: str, key: str, train: float = 0.7, seed: int = SEED) -> DataFrame:
-    """Add `split` so that each class has round(train * size) training rows, exactly."""
-    u = hash_uniform(key, seed)
-    ranked = dense_index(rows, u, [key], "_rank", group=label, size="_class_size")
-    take = F.floor(F.col("_class_size") * train + 0.5)
-    return ranked.withColumn("split", F.when(F.col("_rank") < take, "train").otherwise("test")).drop(
-        "_rank", "_class_size"
-    )
+    """Add `split` so that each class has round(train * size) training rows, exactly.
+
+    Rows of a class are ordered by the hash of their key, equal ones by the key. Counts per class and bucket of the hash tell which
+    bucket the cut falls in; only that bucket's rows are ordered, to find the last training row, and every other
+    row is decided by its own hash. Rows that are equal in both share a side only as far as the count
+    allows: of those at the cut, a hash of the whole row decides, then chance of their order.
+    """
+    buckets = 1 << 16
+    spread = {"_group": F.coalesce(F.col(label).cast("string"), F.lit("")), "_u": hash_uniform(key, seed)}
+    # Rows without a key have one hash; that of the whole row spreads them.
+    everything = F.xxhash64(*[F.col(c) for c in rows.columns])
+    spread["_u"] = F.when(F.col(key).isNull(), hash_uniform(everything, seed)).otherwise(spread["_u"])
+    spread["_tie"] = F.struct(F.col(key).alias("key"), everything.alias("all"))
+    keyed = rows.withColumns(spread).withColumn("_bucket", bucket_of(F.col("_u"), buckets))
+    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(*BEFORE)
+    sizes = keyed.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_size"))  # buckets x classes rows at most
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    total = F.sum("_size").over(Window.partitionBy("_group"))
+    take = F.floor(total * train + 0.5) - start
+    cuts = sizes.withColumn("_take", take).where("_take > 0 AND _take <= _size").select("_group", "_bucket", "_take")
+    # The bucket that holds a class's last training row; a class without training rows has none.
+    cut = F.broadcast(cuts.select("_group", F.col("_bucket").alias("_cut"), "_take"))  # a row for each class
+    marked = keyed.join(cut, "_group", "left")
+    at_cut = marked.where("_bucket = _cut")
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("_u", "_tie"))
+    decided = at_cut.withColumn("split", F.when(place <= F.col("_take"), "train").otherwise("test"))
+    others = marked.where("_cut IS NULL OR _bucket <> _cut")
+    others = others.withColumn("split", F.when(F.col("_bucket") < F.col("_cut"), "train").otherwise("test"))
+    return others.unionByName(decided).select(*rows.columns, "split")
+
+
+def balanced_split(rows: DataFrame, label: str, key: str, train: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows; the smaller class of the training part is copied until both are equally large.
+
+    Rows are split by key before any is copied, so no key is on both sides and the test rows are as they came.
+    """
+    training, testing = hash_split(rows, key, train, seed)
+    return oversample_replicate(training, label, key, seed), testing
 
 
 def exact_sample(rows: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -80,7 +111,7 @@ def oversample_bootstrap(rows: DataFrame, label: str, key: str, seed: int = SEED
     )
     indexed = dense_index(rows.where(F.col(label) == small), hash_uniform(key, seed), [key], "_index")
     drawn = indexed.join(draws, "_index")
-    return rows.unionByName(_repeat(drawn, missing, size, rows.columns))
+    return rows.unionByName(_repeat(drawn, missing, rows.columns))
 
 
 def oversample_replicate(rows: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
@@ -101,7 +132,7 @@ def oversample_replicate(rows: DataFrame, label: str, key: str, seed: int = SEED
         )
         .where("_copies > 0")
     )
-    return rows.unionByName(_repeat(chunked, missing, size, rows.columns))
+    return rows.unionByName(_repeat(chunked, missing, rows.columns))
 
 
 def _shortfall(rows: DataFrame, label: str) -> tuple[int, int, int]:
@@ -110,14 +141,13 @@ def _shortfall(rows: DataFrame, label: str) -> tuple[int, int, int]:
     return small, sizes[small], sizes[1 - small] - sizes[small]
 
 
-def _repeat(rows: DataFrame, copies: int, size: int, columns: list[str]) -> DataFrame:
-    """Each row `_copies` times, `copies` in all, from `size` different rows.
+def _repeat(rows: DataFrame, copies: int, columns: list[str]) -> DataFrame:
+    """Each row `_copies` times, `copies` in all.
 
     Where few rows make many, adaptive execution would judge them by their own small size and merge
     them into few tasks; a fixed number of partitions, set by the output, prevents that. It is
     round-robin because a repartition on keys the rows are already placed by is optimised away.
     """
-    if copies > 16 * size:
-        tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-copies // COPIES_PER_TASK))
-        rows = rows.repartition(tasks)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-copies // COPIES_PER_TASK))
+    rows = rows.repartition(tasks)
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*columns)

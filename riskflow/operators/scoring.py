@@ -60,13 +60,40 @@ def score_batch_by_rule(batch: DataFrame, amount: str, key: str, seed: int = S.S
     return with_prediction(rule_scores(fill_missing_columns(batch), amount, key, seed))
 
 
+def fill_spread(rows: DataFrame) -> DataFrame:
+    """Accounts with one transaction have no spread; models see 0 for it, in training and in scoring."""
+    if "StdDevAmount" not in rows.columns:
+        return rows
+    return rows.withColumn("StdDevAmount", F.coalesce(F.col("StdDevAmount").cast("double"), F.lit(0.0)))
+
+
+def with_account_features(batch: DataFrame, features: DataFrame) -> DataFrame:
+    """The batch with the features of its accounts, where it lacks a column; unknown accounts get nulls."""
+    wanted = [c for c in features.columns if c in S.DEFAULT_FEATURES and c not in batch.columns]
+    return batch.join(features.select("From_Account", *wanted), "From_Account", "left")
+
+
 def score_batch_by_model(
-    batch: DataFrame, model: PipelineModel, threshold: float = S.DECISION_THRESHOLD, fill_nulls: bool = True
+    batch: DataFrame, model: PipelineModel, threshold: float = S.DECISION_THRESHOLD, fill_nulls: bool = False
 ) -> DataFrame:
-    """Like `score_batch_by_rule` with a fitted model. Null features take their default."""
+    """Like `score_batch_by_rule` with a fitted model, and `Imputed`.
+
+    A null spread is 0, as in training. A row that lacks another feature has no score and no prediction, unless `fill_nulls`
+    gives it the default. `Imputed` is 1 for rows of which a feature that the model reads is a default.
+    """
     require_columns(batch, ["From_Account"])
-    filled = fill_missing_columns(batch, fill_nulls)
-    scored = model.transform(filled).withColumn("LaunderingProbability", positive_probability())
+    assembler, trees = model.stages[0], model.stages[1:]
+    read = assembler.getInputCols()
+    given = fill_spread(batch)
+    absent = [F.col(c).isNull() if c in given.columns else F.lit(True) for c in read]
+    marked = given.withColumn("Imputed", F.greatest(F.lit(0), *[a.cast("int") for a in absent]))
+    filled = fill_missing_columns(marked, fill_nulls)
+    usable = F.lit(True)
+    for c in read:
+        usable = usable & F.col(c).isNotNull()
+    scored = PipelineModel([assembler.copy().setHandleInvalid("keep"), *trees]).transform(filled)
+    scored = scored.withColumn("LaunderingProbability", F.when(usable, positive_probability()))
+    scored = scored.withColumn("Imputed", F.when(usable, F.col("Imputed")).otherwise(0))
     return with_prediction(scored.select(*filled.columns, "LaunderingProbability"), threshold)
 
 

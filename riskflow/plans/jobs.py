@@ -7,9 +7,11 @@ from riskflow import schemas as S
 from riskflow.operators.clean import clean_transactions
 from riskflow.operators.features import account_features
 from riskflow.operators.labels import account_labels, features_with_labels
-from riskflow.operators.models import compare, load_model, numeric_view, save_model, train, valid_rows
+from riskflow.operators.metrics import threshold_report
+from riskflow.operators.models import compare, load_model, numeric_view, predict, save_model, train, valid_rows
 from riskflow.operators.patterns import pattern_labels, pattern_transactions
-from riskflow.operators.scoring import score_batch_by_model
+from riskflow.operators.sampling import balanced_split
+from riskflow.operators.scoring import fill_spread, score_batch_by_model, with_account_features
 from riskflow.sources.readers import (
     read_label_rows,
     read_pattern_lines,
@@ -44,13 +46,6 @@ def build_dataset(
     return through_table(labelled_features(clean_transactions(raw), labels, stddev), out)
 
 
-def fill_spread(dataset: DataFrame) -> DataFrame:
-    """Accounts with one transaction have no spread; models see 0 for it."""
-    if "StdDevAmount" not in dataset.columns:
-        return dataset
-    return dataset.withColumn("StdDevAmount", F.coalesce("StdDevAmount", F.lit(0.0)))
-
-
 def compare_models(dataset: DataFrame, names: tuple[str, ...] = tuple(S.BOOSTERS)) -> DataFrame:
     """AUC of the configured boosters on one 80/20 split of a dataset without spread column."""
     features = S.FEATURE_LISTS["gbt"]
@@ -64,6 +59,24 @@ def train_and_save(dataset: DataFrame, path: str, model: str = "gbt", booster: s
     save_model(train(view, features, S.BOOSTERS[booster]), path)
 
 
-def score_files(spark: SparkSession, batch: str | list[str], model_path: str, out: str) -> None:
-    """Score CSV files with a saved model into a CSV folder."""
-    write_csv(score_batch_by_model(read_scoring_batch(spark, batch), load_model(model_path)), out)
+def train_balanced(
+    dataset: DataFrame, path: str, model: str = "boosted", booster: str = "boosted_100_depth6", train_share: float = 0.8
+) -> DataFrame:
+    """Split, balance the training part only, fit, save; returns the report at both thresholds on the untouched rest."""
+    features = S.FEATURE_LISTS[model]
+    view = valid_rows(numeric_view(fill_spread(dataset), features), features)
+    training, testing = balanced_split(view, "label", "From_Account", train_share)
+    fitted = train(training, features, S.BOOSTERS[booster])
+    save_model(fitted, path)
+    scored = predict(testing, fitted)
+    return threshold_report(scored, "IsLaundering", "LaunderingProbability", [S.DECISION_THRESHOLD, S.STRICT_THRESHOLD])
+
+
+def score_files(
+    spark: SparkSession, batch: str | list[str], model_path: str, out: str, features: DataFrame | None = None, fill_nulls: bool = False
+) -> None:
+    """Score CSV files with a saved model into a CSV folder. `features` are those of accounts, for columns the files lack."""
+    rows = read_scoring_batch(spark, batch)
+    if features is not None:
+        rows = with_account_features(rows, features)
+    write_csv(score_batch_by_model(rows, load_model(model_path), fill_nulls=fill_nulls), out)

@@ -251,7 +251,8 @@ SELECT cast(flag AS integer) AS isLaundering, count(*) AS "count" FROM pr GROUP
 SELECT {", ".join(f"count(*) FILTER (WHERE {c} = '') AS {c}" for c in [f'"{n}"' for n in FIELDS] + ["Pattern_Type"])}
 FROM pr""",
     "union_sources": f"""{FILLED}
-SELECT CASE WHEN cast(source AS integer) % 2 = 0 THEN 'even' ELSE 'odd' END AS origin, source, line_no, Pattern_Type
+SELECT CASE WHEN cast(source AS integer) % 2 = 0 THEN 'even' ELSE 'odd' END AS origin,
+       cast(cast(source AS integer) // 2 AS varchar) AS source, line_no, Pattern_Type
 FROM filled""",
     "union_transactions": f"""WITH {EVENTS}, {ORDERS}
 SELECT from_account AS From_Account, cast(amt AS double) AS Amount_Paid, props AS Payment_Currency,
@@ -312,7 +313,28 @@ g AS (SELECT LaunderingProbability AS v, count(*) FILTER (WHERE is_l = 1) AS pos
 b AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
 SELECT cast(sum(pos * (2 * below + neg)) AS double)
          / (cast(2 AS double) * cast(sum(pos) AS double) * cast(sum(neg) AS double)) AS auc,
-       cast(sum(pos) AS bigint) AS n_positive, cast(sum(neg) AS bigint) AS n_negative FROM b""",
+       cast(sum(pos) AS bigint) AS n_positive, cast(sum(neg) AS bigint) AS n_negative,
+       cast(0 AS bigint) AS n_unscored FROM b""",
+    "gbt_train_score": f"""{DATASET}
+SELECT From_Account, IsLaundering, 1 AS is_probability, 1 AS prediction_follows
+FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
+    "compare_models": f"""{DATASET}
+SELECT unnest(['gbt_50', 'boosted_100_depth6', 'boosted_100_depth5']) AS model,
+       count(*) FILTER (WHERE {_uniform("From_Account")} < cast(0.8 AS double)) AS n_train,
+       count(*) FILTER (WHERE {_uniform("From_Account")} >= cast(0.8 AS double)) AS n_test,
+       cast(0 AS bigint) AS n_dropped, 1 AS beats_chance FROM ml""",
+    "feature_gain": "SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in BOOSTED if c != "StdDevAmount")
+    + "]) AS feature, 1 AS gain_is_positive",
+    "model_batch_score": f"""{DATASET_SPREAD}
+SELECT o.transaction_id, ml.From_Account, ml.TxnCount, coalesce(ml.StdDevAmount, 0) AS StdDevAmount, 0 AS Imputed,
+       1 AS is_probability
+FROM o JOIN ml ON ml.From_Account = o.from_account""",
+    "balanced_split": f"""{DATASET},
+parts AS (SELECT IsLaundering, CASE WHEN {_uniform("From_Account")} < cast(0.8 AS double) THEN 'train' ELSE 'test' END AS split FROM ml),
+k AS (SELECT split, IsLaundering, count(*) AS n FROM parts GROUP BY ALL)
+SELECT split, IsLaundering, CASE WHEN split = 'train' THEN (SELECT max(n) FROM k WHERE split = 'train') ELSE n END AS n_rows,
+       n AS n_accounts, cast(0 AS bigint) AS n_mixed FROM k""",
     "model_roundtrip": f"""{DATASET}
 SELECT From_Account, 1 AS unchanged FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
     "csv_roundtrip": LABELLED,

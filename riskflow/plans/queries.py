@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow import schemas as S
@@ -188,10 +188,11 @@ def empty_string_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def union_sources_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Banks with even and odd numbers as two logs; the union holds all lines, fills stay in their source."""
+    """Banks with even and odd numbers as two logs that number their banks alike; fills stay in their log."""
     log = _log(spark, sf)
-    parity = F.col("source").cast("int") % 2
-    both = union_sources({"even": log.where(parity == 0), "odd": log.where(parity == 1)})
+    number = F.col("source").cast("int")
+    half = F.floor(number / 2).cast("string")
+    both = union_sources({name: log.where(number % 2 == n).withColumn("source", half) for n, name in enumerate(("even", "odd"))})
     rows = patterns.with_pattern(both)
     return rows.select("origin", "source", "line_no", "Pattern_Type")
 
@@ -330,22 +331,70 @@ def _training_table(spark: SparkSession, sf: str, stddev: bool = False) -> DataF
 
 
 def _fitted(spark: SparkSession, sf: str):
-    training, testing = sampling.hash_split(models.numeric_view(_training_table(spark, sf), GBT), "From_Account")
+    view = models.valid_rows(models.numeric_view(_training_table(spark, sf), GBT), GBT)
+    training, testing = sampling.hash_split(view, "From_Account")
     return models.train(training, GBT, S.BOOSTERS["gbt_50"]), training, testing
 
 
 def gbt_train_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Every test account with its label, and whether its score is a probability that the prediction follows from."""
     model, _, testing = _fitted(spark, sf)
-    return models.predict(testing, model)
+    score = F.col("LaunderingProbability")
+    follows = F.col("Prediction") == scoring.at_least(score, S.DECISION_THRESHOLD)
+    return models.predict(testing, model).select(
+        "From_Account",
+        "IsLaundering",
+        score.between(0, 1).cast("int").alias("is_probability"),
+        follows.cast("int").alias("prediction_follows"),
+    )
 
 
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    return compare_boosters(_training_table(spark, sf))
+    """Sizes of both parts for each booster, and whether it beats chance on the test part."""
+    compared = compare_boosters(_training_table(spark, sf))
+    return compared.select("model", "n_train", "n_test", "n_dropped", (F.col("auc") > 0.5).cast("int").alias("beats_chance"))
 
 
 def feature_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature of the model, and whether its gain is positive if it is used, and ranked by its size."""
     model, training, _ = _fitted(spark, sf)
-    return models.feature_gain(training, model, GBT, scratch_path(spark, "trees"))
+    gain = models.feature_gain(training, model, GBT, scratch_path(spark, "trees"), top=len(GBT))
+    ranks = gain.select("feature", "gain", F.row_number().over(Window.orderBy(F.desc("gain"))).alias("rank"))  # a row for each feature
+    listed = spark.createDataFrame([(f,) for f in GBT], "feature string").join(ranks, "feature", "left")
+    return listed.select("feature", F.coalesce(F.col("gain") > 0, F.lit(True)).cast("int").alias("gain_is_positive"))
+
+
+def _spread_fitted(spark: SparkSession, sf: str):
+    dataset = _training_table(spark, sf, stddev=True)
+    view = models.valid_rows(models.numeric_view(scoring.fill_spread(dataset), BOOSTED), BOOSTED)
+    return dataset, models.train(view, BOOSTED, S.BOOSTERS["gbt_50"] | {"maxIter": 10})
+
+
+def model_batch_score(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of transactions scored by a model on the features of their accounts."""
+    dataset, model = _spread_fitted(spark, sf)
+    batch = scoring.with_account_features(_orders(spark, sf).select("transaction_id", "From_Account"), dataset)
+    scored = scoring.score_batch_by_model(batch, model)
+    return scored.select(
+        "transaction_id",
+        "From_Account",
+        "TxnCount",
+        F.round("StdDevAmount", SPREAD_DIGITS).alias("StdDevAmount"),
+        "Imputed",
+        F.col("LaunderingProbability").between(0, 1).cast("int").alias("is_probability"),
+    )
+
+
+def balanced_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and accounts of each class in both parts, and accounts that are in both."""
+    training, testing = sampling.balanced_split(_dataset(spark, sf), "IsLaundering", "From_Account")
+    columns = ["From_Account", "IsLaundering"]
+    both = union_sources({"train": training.select(columns), "test": testing.select(columns)}, "split")
+    sides = F.size(F.collect_set("split"))
+    per_account = both.groupBy("From_Account", "IsLaundering").agg(sides.alias("sides"))
+    counts = both.groupBy("split", "IsLaundering").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("From_Account").alias("n_accounts"))
+    mixed = per_account.groupBy("IsLaundering").agg(F.count_if(F.col("sides") > 1).alias("n_mixed"))
+    return counts.join(mixed, "IsLaundering")
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -479,6 +528,8 @@ QUERIES: dict[str, Query] = {
         compare_models,
         feature_gain,
         model_roundtrip,
+        model_batch_score,
+        balanced_split,
         csv_roundtrip,
         raw_csv_features,
         reject_counts,

@@ -5,8 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import wall_clock
-from riskflow.operators.clean import clean_transactions
-from riskflow.sources.readers import read_csv, read_raw_transactions, require_columns, union_sources
+from riskflow.operators.clean import clean_transactions, reject_counts
+from riskflow.sources.readers import (
+    read_csv,
+    read_label_rows,
+    read_raw_transactions,
+    read_scoring_batch,
+    require_columns,
+    union_sources,
+)
 from riskflow.sources.sinks import write_csv
 from tests.conftest import rows
 
@@ -79,3 +86,27 @@ def test_union_and_required_columns(spark):
     assert sorted(rows(both.select("origin", "k", "v"))) == [("a", 1, "x"), ("b", 2, "y")]
     with pytest.raises(ValueError, match="From_Account"):
         require_columns(a, ["k", "From_Account"])
+
+
+def test_large_amounts_stay_and_others_are_counted(spark, tmp_path):
+    amounts = ["123456789012345.5", "0.12345678", "0.123456789", "1e30", "abc", ""]
+    lines = [f"2022/09/01 00:20,010,A{i},020,B1,1,Dollar,{a},Dollar,Wire,0" for i, a in enumerate(amounts)]
+    (tmp_path / "t.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    raw = read_raw_transactions(spark, str(tmp_path / "t.csv"))
+    kept = {r.From_Account: r.Amount_Paid for r in clean_transactions(raw).collect()}
+    assert kept == {"A0": Decimal("123456789012345.5"), "A1": Decimal("0.12345678")}
+    assert dict(rows(reject_counts(raw))) == {"amount not readable": 3, "no amount": 1}
+
+
+def test_batches_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("From_Account,TxnCount,note\nx,3,n\n")
+    (tmp_path / "b.csv").write_text("TxnCount,From_Account,MaxAmount\n1000,y,7.5\n")
+    found = read_scoring_batch(spark, str(tmp_path / "*.csv")).select("From_Account", "TxnCount", "MaxAmount", "note")
+    assert sorted(rows(found)) == [("x", 3.0, None, "n"), ("y", 1000.0, 7.5, None)]
+
+
+def test_both_forms_of_label_files(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("Timestamp,From_Bank,From_Account,Pattern_Type,isLaundering\nt,01,acc,CYCLE,1\n")
+    (tmp_path / "short.csv").write_text("Timestamp,From_Bank,Pattern_Type,isLaundering\nt,01,CYCLE,1\n")
+    assert rows(read_label_rows(spark, str(tmp_path / "long.csv"))) == [("t", "01", "acc", "CYCLE", 1)]
+    assert rows(read_label_rows(spark, str(tmp_path / "short.csv"))) == [("t", "01", None, "CYCLE", 1)]

@@ -5,6 +5,7 @@ from riskflow import schemas as S
 from riskflow.functions.columns import hash_uniform
 from riskflow.operators import models, scoring
 from riskflow.operators.metrics import auc_exact
+from riskflow.operators.sampling import hash_split
 from riskflow.plans import jobs
 from riskflow.sources.readers import read_ml_dataset
 from riskflow.sources.scratch import scratch_path
@@ -63,7 +64,11 @@ def test_save_load_and_batch(spark, dataset, fitted, tmp_path):
     fresh = scoring.score_batch_by_model(batch, fitted[1])
     loaded = scoring.score_batch_by_model(batch, models.load_model(path))
     assert sorted(rows(fresh)) == sorted(rows(loaded))
-    assert fresh.count() == 300 and fresh.where("LaunderingProbability IS NULL").count() == 0
+    # The account without an hour has no score unless it is given the default; it is the only one without.
+    assert fresh.count() == 300 and [r.From_Account for r in fresh.where("LaunderingProbability IS NULL").collect()] == ["a5"]
+    assert fresh.where("Prediction IS NULL").count() == 1 and fresh.where("Imputed = 1").count() == 299  # MinAmount is a default
+    filled = scoring.score_batch_by_model(batch, fitted[1], fill_nulls=True)
+    assert filled.where("LaunderingProbability IS NULL").count() == 0 and filled.where("Imputed = 1").count() == 300
 
 
 def test_stream_scored_by_model_equals_batch(spark, dataset, fitted, tmp_path):
@@ -86,8 +91,33 @@ def test_compare(dataset):
     view = models.numeric_view(dataset, GBT)
     table = models.compare(view, {"a": (GBT, SMALL), "b": (GBT, {**SMALL, "maxIter": 2})}).collect()
     assert [r.model for r in table] == ["a", "b"]
+    split = [models.valid_rows(x, GBT).count() for x in hash_split(view, "From_Account")]
     for r in table:
-        assert 0.5 < r.auc <= 1 and r.n_train + r.n_test in (299, 300)
+        assert 0.5 < r.auc <= 1 and (r.n_train, r.n_test, r.n_dropped) == (*split, 1)
+
+
+def test_null_spread_is_zero_on_both_sides(spark, dataset):
+    """An account without spread is scored as it was trained on."""
+    boosted = S.FEATURE_LISTS["boosted"]
+    rows_ = dataset.withColumn("HourBucket", F.lit(12)).withColumn(
+        "StdDevAmount", F.when(F.col("IsLaundering") == 1, F.lit(2000.0) + F.rand(1))
+    )
+    view = models.numeric_view(scoring.fill_spread(rows_), boosted)
+    assert view.where("StdDevAmount = 0").count() == view.where("label = 0").count() > 0
+    model = models.train(view, boosted, SMALL)
+    trained = {r.From_Account: r.LaunderingProbability for r in models.predict(view, model).collect()}
+    batch = scoring.score_batch_by_model(rows_.drop("IsLaundering"), model).collect()
+    assert {r.From_Account: r.LaunderingProbability for r in batch} == trained and {r.Imputed for r in batch} == {0}
+
+
+def test_fits_repeat(fitted):
+    again = models.train(fitted[0], GBT, SMALL)
+    assert sorted(rows(models.predict(fitted[0], again))) == sorted(rows(models.predict(*fitted)))
+
+
+def test_unscored_rows_are_counted_not_ranked(spark):
+    scored = spark.createDataFrame([(1, 0.9), (1, None), (0, 0.1), (0, float("nan")), (1, 0.4)], "label int, s double")
+    assert rows(auc_exact(scored, "label", "s")) == [(1.0, 2, 1, 2)]
 
 
 def test_one_class_is_an_error(dataset):
@@ -115,6 +145,11 @@ def test_jobs_end_to_end(spark, tmp_path, monkeypatch):
     assert sorted(rows(read_ml_dataset(spark, at("dataset")))) == sorted(rows(dataset))
     jobs.train_and_save(dataset, at("model"), "boosted")
     write_csv(dataset.drop("IsLaundering", "NumFormats"), at("batch"))
-    jobs.score_files(spark, at("batch"), at("model"), at("scores"))
+    jobs.score_files(spark, at("batch"), at("model"), at("scores"), dataset)
     scores = spark.read.csv(at("scores"), header=True)
+    report = jobs.train_balanced(dataset, at("balanced"), booster="gbt_50").collect()
+    assert [r.threshold for r in report] == [0.5, 0.7] and all(r.tn + r.fp + r.fn + r.tp < 30 for r in report)
+    spread = jobs.build_dataset(spark, {"small": at("tx.csv")}, at("labels"), at("with_spread"))
+    write_csv(spread, at("spread_csv"))
+    assert sorted(rows(read_ml_dataset(spark, at("spread_csv"), csv=True).select(spread.columns)), key=repr) == sorted(rows(spread), key=repr)
     assert scores.count() == 30 and {"LaunderingProbability", "Prediction", "NumFormats"} <= set(scores.columns)
