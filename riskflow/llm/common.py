@@ -13,7 +13,7 @@ from riskflow.sources.scratch import scratch_path
 from riskflow.sources.sinks import through_table
 
 #: Text bytes that one task handles at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -29,7 +29,7 @@ BANDS, ROWS = 24, 3
 #: Texts in a slot of a large group.
 SLOT = 400
 #: Pairs compared at a time; words a task remembers the hashes of.
-PAIRS, REMEMBERED_WORDS = 400_000, 300_000
+PAIRS, REMEMBERED_WORDS = 400_000, 150_000
 
 _rng = np.random.default_rng(11)
 _FACTORS = (_rng.integers(0, 1 << 31, VALUES, np.uint32) << np.uint32(1)) | np.uint32(1)

@@ -30,7 +30,7 @@ ROUNDS, RATE, PENALTY = 40, 0.1, 1e-5
 #: Words in a training sequence, and in a block of a document.
 SEQUENCE, BLOCK = 64, 64
 #: Words that a task remembers. It forgets all when it has more.
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 120_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
