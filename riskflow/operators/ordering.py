@@ -24,14 +24,17 @@ def fill_forward(lines: DataFrame, event: str, out: str, *, source: str, segment
     carried = (
         lines.groupBy(*keys)
         .agg(last_event.alias("_end"))
-        .select(*keys, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+        .select(*keys, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"), F.lit(True).alias("_found"))
     )
+    # Both branches read the lines; if a source was cut into other segments the second time, that must not pass.
+    lost = F.raise_error(F.lit("a segment of lines has no row in the table of segments; read the lines once more"))
+    carried_name = F.when(F.col("_found"), F.col("_carried")).otherwise(lost.cast("string"))
     # No broadcast hint: the table grows with the data, and is small enough only at run time.
     return (
         lines.withColumn("_local", F.last(event, ignorenulls=True).over(here))
         .join(carried, keys, "left")
-        .withColumn(out, F.coalesce("_local", "_carried"))
-        .drop("_local", "_carried")
+        .withColumn(out, F.coalesce(F.col("_local"), carried_name))
+        .drop("_local", "_carried", "_found")
     )
 
 

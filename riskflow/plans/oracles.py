@@ -237,6 +237,7 @@ SELECT f.*, coalesce(l.IsLaundering, 0) AS IsLaundering FROM f LEFT JOIN l ON tr
 SELECT source, line_no, value FROM log WHERE NOT contains(value, 'END LAUNDERING ATTEMPT')""",
     "pattern_forward_fill": f"{FILLED} SELECT source, line_no, Pattern_Type FROM filled",
     "pattern_block_fill": BLOCKS,
+    "pattern_file_fill": f"{FILLED} SELECT source, value, Pattern_Type, count(*) AS n_lines FROM filled GROUP BY ALL",
     "pattern_transactions": f"""{PATTERN_ROWS}
 SELECT source, line_no, {FIELD_LIST}, Pattern_Type, 1 AS isLaundering FROM pr""",
     "pattern_narrow": f"""{PATTERN_ROWS}

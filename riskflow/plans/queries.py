@@ -160,6 +160,16 @@ def pattern_block_fill(spark: SparkSession, sf: str) -> DataFrame:
     return filled.select("source", "line_no", "Pattern_Type")
 
 
+def pattern_file_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Logs as text files, one for each bank, read back in splits and filled."""
+    path = scratch_path(spark, "logs")
+    ordered = _log(spark, sf).repartition("source").sortWithinPartitions("source", "line_no")
+    ordered.select("source", "value").write.partitionBy("source").text(path)
+    filled = patterns.with_pattern(read_pattern_lines(spark, path))
+    bank = F.regexp_extract("source", "source=([^/]*)", 1)
+    return filled.groupBy(bank.alias("source"), "value", "Pattern_Type").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def pattern_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return _pattern_rows(spark, sf)
 
@@ -494,6 +504,7 @@ QUERIES: dict[str, Query] = {
         pattern_lines_no_end,
         pattern_forward_fill,
         pattern_block_fill,
+        pattern_file_fill,
         pattern_transactions,
         pattern_narrow,
         pattern_name_clean,

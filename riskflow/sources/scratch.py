@@ -1,5 +1,6 @@
 """Where jobs keep intermediate tables, checkpoints and saved models."""
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def shared_root(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):  # local-cluster[..] has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local is None:
         _local = tempfile.TemporaryDirectory(prefix="riskflow-", ignore_cleanup_errors=True)
