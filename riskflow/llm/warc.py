@@ -191,7 +191,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     ends = placed.groupBy("file").agg(F.max(F.col("offset") + len(MAGIC) + F.col("size")).alias("file_end"))
     owners = materialize(reached_pieces(candidates), "warc-owners").where("owner >= 0")
     fields = ["head", "http_head", "payload_sha1", "payload_size"]
-    records = candidates.join(owners.where("offset = owner").select("file", "offset"), ["file", "offset"])
+    # Merged, as both sides have a row for each record.
+    records = candidates.join(owners.where("offset = owner").select("file", "offset").hint("merge"), ["file", "offset"])
     records = records.join(ends, "file").where("stop <= file_end").drop("file_end")
     whole = (F.col("size") + len(MAGIC)) == F.col("declared")
     simple = records.where(whole).select("file", "offset", *fields)
