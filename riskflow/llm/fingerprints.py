@@ -159,7 +159,7 @@ def _in_blocks(docs: DataFrame, text: str) -> DataFrame:
     starts = docs.sparkSession.createDataFrame(after, "place long, next_block int")
     edges = rows.join(F.broadcast(starts), "place").select("doc_id", "place", "text", F.col("next_block").alias("block"))
     both = rows.select("block", F.lit(False).alias("edge"), "doc_id", "place", "text").unionByName(edges.withColumn("edge", F.lit(True)))
-    return both.repartition(blocks, "block").sortWithinPartitions("block", "edge", F.desc("place"), "text").drop("place")
+    return both.repartitionById(blocks, "block").sortWithinPartitions("block", "edge", F.desc("place"), "text").drop("place")
 
 
 def _compared(rows: list[tuple[int | None, str]]) -> Iterator[pa.RecordBatch]:
