@@ -26,7 +26,7 @@ from riskflow.sources.readers import (
 )
 from riskflow.sources.scratch import scratch_path
 from riskflow.sources.sinks import through_table, write_csv, write_lines
-from riskflow.streaming.jobs import account_windows, drain, score_stream
+from riskflow.streaming.jobs import account_windows, drain, last_windows, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 GBT = S.FEATURE_LISTS["gbt"]
@@ -480,9 +480,15 @@ def stream_rule_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
+    """All windows, those the stream closes and the last ones; the approximate count is held against the exact one."""
     windows = account_windows(adapters.transfers_from_events(_stream(spark, sf, "events")))
-    done = drain(windows, scratch_path(spark, "windows"), scratch_path(spark, "progress"))
-    return done.drop("ApproxCurrencies")
+    closed = drain(windows, scratch_path(spark, "windows"), scratch_path(spark, "progress"))
+    transfers = _transfers(spark, sf)
+    every = closed.unionByName(last_windows(transfers, closed))
+    day = F.date_trunc("day", F.col("Timestamp")).cast("timestamp_ntz")
+    exact = transfers.groupBy("From_Account", day.alias("window_start")).agg(F.count_distinct("Payment_Currency").alias("exact"))
+    near = F.abs(F.col("ApproxCurrencies") - F.col("exact")) <= 1 + 0.15 * F.col("exact")
+    return every.join(exact, ["From_Account", "window_start"]).withColumn("approx_is_near", near.cast("int")).drop("ApproxCurrencies", "exact")
 
 
 QUERIES: dict[str, Query] = {

@@ -45,6 +45,16 @@ def account_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 ho
     )
 
 
+def last_windows(rows: DataFrame, closed: DataFrame, window: str = "1 day") -> DataFrame:
+    """The windows that a drained stream has left open, from the same rows as a table.
+
+    Windows close in order of time, so they are those from the end of the last closed one on; all, if none has closed.
+    """
+    end = closed.agg(F.max("window_end").alias("end"))
+    later = rows.join(F.broadcast(end), F.col("end").isNull() | (F.col("Timestamp") >= F.col("end"))).drop("end")  # one row
+    return account_windows(later, window).select(closed.columns)
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Process everything that is there, append it to a Parquet folder, and read that."""
     query = (
