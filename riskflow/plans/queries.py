@@ -487,7 +487,7 @@ def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
     every = closed.unionByName(last_windows(transfers, closed))
     day = F.date_trunc("day", F.col("Timestamp")).cast("timestamp_ntz")
     exact = transfers.groupBy("From_Account", day.alias("window_start")).agg(F.count_distinct("Payment_Currency").alias("exact"))
-    near = F.abs(F.col("ApproxCurrencies") - F.col("exact")) <= 1 + 0.15 * F.col("exact")
+    near = F.abs(F.col("ApproxCurrencies") - F.col("exact")) <= 2 + 0.15 * F.col("exact")
     return every.join(exact, ["From_Account", "window_start"]).withColumn("approx_is_near", near.cast("int")).drop("ApproxCurrencies", "exact")
 
 
