@@ -7,8 +7,9 @@ name of its suffixes' later and earlier offsets, as far as the anchor's windows
 one bucket, its smallest document is known. Only buckets that it splits are refined further, window by
 window, on the bytes. The names of longer strings come from those of shorter ones at later offsets.
 
-Documents are dealt into blocks of a few megabytes. A block sends each distinct anchor and context once,
-with its smallest document, so what many documents share is sent by each block, not by each document.
+Documents are dealt into blocks of a few megabytes. A block sends each distinct q-gram, and each context that is
+refined, once, with its smallest document, so what many documents share is sent by each block, not by each
+document. A q-gram with very many contexts isn't refined in one task: its windows are dealt out by their hashes.
 """
 
 from math import ceil
@@ -27,8 +28,10 @@ REACH = LENGTH - GRAM + 1
 BEFORE, CONTEXT = REACH - 1, 88
 #: Text bytes in a block, and those named at a time, which fit in a core's cache.
 BLOCK_BYTES, PART_BYTES = 8 << 20, 128 << 10
-#: Says that a context is refined further.
-SPLIT = (1 << 63) - 1
+#: Contexts of a q-gram up to which they are refined together; those of more common ones are dealt out by window.
+COMMON = 50_000
+#: Say that the contexts of a q-gram are refined further, together or by window.
+SPLIT, DEALT = (1 << 63) - 1, (1 << 63) - 2
 
 _BYTES = np.random.default_rng(5).integers(0, 1 << 32, 256, np.uint32)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -72,7 +75,7 @@ class Block:
 
     `start` is an anchor's place in `data`, `doc` its document, `near` and `far` the bytes by which the
     nearest and the farthest start of a window that it stands for come before it. `key` and `name` identify its
-    q-gram and its context, `which` is the number of that pair among the distinct ones, which are sorted.
+    q-gram and its context, `which` is the number of that pair among the distinct ones, which are sorted; `key_of` is that of a pair's q-gram.
     """
 
     def __init__(self, ids: np.ndarray, texts: list[bytes], parts: int):
@@ -98,14 +101,20 @@ class Block:
             grams = np.lib.stride_tricks.sliding_window_view(self._padded, GRAM)[self.start[a:b] + BEFORE]
             self.key[a:b] = _hash(np.ascontiguousarray(grams).view(np.uint64), 1)
             self.name[a:b] = _hash(self.contexts(np.arange(a, min(b, len(self.start)))).view(np.uint64), 2)
-        # Distinct pairs, in order of the part of the key range that they are sent to.
+        # Distinct pairs, in order of their keys.
         order = np.lexsort((self.ids[self.doc], self.name, self.key))
         key, name = self.key[order], self.name[order]
         new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])[: len(key)]
         self.which = np.empty(len(order), np.int64)
         self.which[order] = np.cumsum(new) - 1
         self.one = order[new]  # an anchor of each pair, of its smallest document
-        self.cuts = np.searchsorted(_part(self.key[self.one], parts), np.arange(parts + 1))
+        # Distinct keys, the pairs of each, and the part of the key range that they are sent to.
+        keys = self.key[self.one]
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+        self.key_of = np.cumsum(first) - 1
+        self.first = np.flatnonzero(first)
+        self.count = np.diff(np.append(self.first, len(keys)))
+        self.cuts = np.searchsorted(_part(keys[self.first], parts), np.arange(parts + 1))
 
     def _anchors(self, first: int, last: int) -> tuple[np.ndarray, ...]:
         low, high = int(self.starts[first]), int(self.ends[last - 1])
@@ -133,6 +142,27 @@ class Block:
         return rows
 
 
+    def windows(self, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The windows of some pairs: the pair, how far before the anchor it starts, and two hashes; at last the distinct hashes' numbers."""
+        context = self.contexts(self.one[pairs])
+        found = []
+        for back in range(REACH):
+            has = np.flatnonzero((context[:, -2] <= back) & (back <= context[:, -1]))
+            found.append((has, np.full(len(has), back), *_window_hashes(context[has], self.key[self.one[pairs[has]]], back)))
+        row, back, a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((self.ids[self.doc[self.one[pairs[row]]]], b, a))
+        row, back, a, b = row[order], back[order], a[order], b[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
+        return pairs[row], back, a, b, new
+
+
+def _window_hashes(context: np.ndarray, key: np.ndarray, back: int) -> tuple[np.ndarray, np.ndarray]:
+    window = np.zeros((len(context), 56), np.uint8)
+    window[:, :LENGTH] = context[:, BEFORE - back : BEFORE - back + LENGTH]
+    words = window.view(np.uint64)
+    return _hash(words, 3) ^ key, _hash(words, 4)
+
+
 def _part(key: np.ndarray, parts: int) -> np.ndarray:
     """The part of the key range that each key is in."""
     return (((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -157,20 +187,26 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-_SENT = pa.schema([("part", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("names", pa.binary()), ("docs", pa.binary())])
+_SENT = pa.schema([("part", pa.int64()), ("block", pa.int64()), *[(c, pa.binary()) for c in ("keys", "names", "docs", "counts")]])
 _ANSWERS = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("which", pa.binary()), ("runs", pa.binary()), ("docs", pa.binary())])
-_SENT_DDL = "part long, block long, keys binary, names binary, docs binary"
+_SENT_DDL = "part long, block long, keys binary, names binary, docs binary, counts binary"
 _ANSWERS_DDL = "block long, part long, which binary, runs binary, docs binary"
 
 
 def _send(rows: pa.Table, parts: int) -> pa.Table:
-    """Each part of the key range gets the distinct anchors and contexts of the block that are in it."""
+    """Each part of the key range gets the distinct q-grams of the block that are in it.
+
+    With each its smallest document, its number of contexts, and the name of the context, 0 if it has several.
+    """
     number, block = rows.column("block")[0].as_py(), _block(rows, parts)
+    one = block.one[block.first]
+    least = np.minimum.reduceat(block.ids[block.doc[block.one]], block.first) if len(one) else np.zeros(0, np.int64)
+    name = np.where(block.count == 1, block.name[one] | np.uint64(1), 0).astype(np.uint64)
     sent = []
     for part in range(parts):
-        one = block.one[block.cuts[part] : block.cuts[part + 1]]
-        if len(one):
-            sent.append((part, number, block.key[one].tobytes(), block.name[one].tobytes(), _planes(block.ids[block.doc[one]])))
+        x = slice(block.cuts[part], block.cuts[part + 1])
+        if x.stop > x.start:
+            sent.append((part, number, block.key[one][x].tobytes(), name[x].tobytes(), _planes(least[x]), _planes(block.count[x])))
     return _rows(_SENT, sent)
 
 
@@ -188,42 +224,83 @@ def _answer(rows: pa.Table, answers: list[tuple[np.ndarray, np.ndarray, np.ndarr
     return _rows(_ANSWERS, [(b, p, w.astype(np.int32).tobytes(), r.tobytes(), _planes(d)) for b, p, (w, r, d) in zip(blocks, parts, answers, strict=True) if len(w)])
 
 
-def _refine(rows: pa.Table) -> pa.Table:
-    """Tells blocks of a smaller document that has a context, or that its bucket splits."""
+def _told(rows: pa.Table, owner: np.ndarray, within: np.ndarray, value: np.ndarray) -> pa.Table:
+    """Answers to the rows that elements came from: their numbers there and values."""
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange(rows.num_rows + 1))
+    value, within = value[order], within[order]
+    return _answer(rows, [(within[a:b], np.zeros(0, np.uint8), value[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+
+
+def _refine(rows: pa.Table, common: int) -> pa.Table:
+    """Tells blocks of a smaller document that has a q-gram with the same context, or that contexts differ."""
     read = lambda x: np.frombuffer(x, np.uint64)
-    key, name, doc, owner, within = _gathered(rows, {"keys": read, "names": read, "docs": _from_planes})
-    order = np.lexsort((name, key))
+    key, name, doc, count, owner, within = _gathered(
+        rows, {"keys": read, "names": read, "docs": _from_planes, "counts": _from_planes}
+    )
+    order = np.argsort(key, kind="stable")
     key, name, doc = key[order], name[order], doc[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(new, len(key)))
-    split = np.repeat(np.minimum.reduceat(name, new) != np.maximum.reduceat(name, new), sizes)
-    least = np.repeat(np.minimum.reduceat(doc, new), sizes)
-    told = split | (least < doc)
-    value = np.where(split, SPLIT, least)[told]
-    owner, within = owner[order][told], within[order][told]
-    again = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[again], np.arange(rows.num_rows + 1))
-    value, within = value[again], within[again]
-    return _answer(rows, [(within[a:b], np.zeros(0, np.uint8), value[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+    low = np.minimum.reduceat(name, new)
+    split = (low != np.maximum.reduceat(name, new)) | (low == 0)
+    state = np.where(np.add.reduceat(count[order], new) > common, DEALT, SPLIT)
+    least = np.repeat(np.where(split, state, np.minimum.reduceat(doc, new)), sizes)
+    told = np.repeat(split, sizes) | (least < doc)
+    return _told(rows, owner[order][told], within[order][told], least[told])
+
+
+def _states(block: Block, told: pa.Table) -> np.ndarray:
+    """For each distinct q-gram of a block the smallest document elsewhere, or what happens to its contexts; else the largest number."""
+    state = np.full(len(block.first), np.iinfo(np.int64).max - 2, np.int64)
+    for part, which, docs in zip(*(told.column(c).to_pylist() for c in ("part", "which", "docs")), strict=True):
+        state[block.cuts[part] + np.frombuffer(which, np.int32)] = _from_planes(docs)
+    return state
+
+
+def _split_pairs(block: Block, state: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose contexts are refined together, and where those of each part of the key range begin."""
+    pairs = np.flatnonzero(state[block.key_of] == SPLIT)
+    return pairs, np.searchsorted(_part(block.key[block.one[pairs]], parts), np.arange(parts + 1))
 
 
 def _send_split(key: tuple, rows: pa.Table, told: pa.Table, parts: int) -> pa.Table:
-    """Sends the bytes of the contexts whose buckets split."""
+    """Sends the bytes of contexts that are refined together, and the windows of those that are dealt out."""
     if not rows.num_rows:
         return _rows(_SENT, [])
-    block = _block(rows, parts)
+    number, block = key[0].as_py(), _block(rows, parts)
+    state = _states(block, told)
+    pairs, cuts = _split_pairs(block, state, parts)
     sent = []
-    for part, which, docs in zip(*(told.column(c).to_pylist() for c in ("part", "which", "docs")), strict=True):
-        chosen = np.frombuffer(which, np.int32)[_from_planes(docs) == SPLIT]
-        one = block.one[block.cuts[part] + np.sort(chosen)]
+    for part, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        one = block.one[pairs[a:b]]
         if len(one):
-            sent.append((part, key[0].as_py(), block.key[one].tobytes(), block.contexts(one).tobytes(), _planes(block.ids[block.doc[one]])))
+            docs = _planes(block.ids[block.doc[one]])
+            sent.append((part, number, block.key[one].tobytes(), block.contexts(one).tobytes(), docs, b""))
+    dealt = np.flatnonzero(state[block.key_of] == DEALT)
+    if len(dealt):
+        pair, _, a, b, new = block.windows(dealt)
+        docs, a, b = block.ids[block.doc[block.one[pair[new]]]], a[new], b[new]
+        cuts = np.searchsorted(_part(a, parts), np.arange(parts + 1))
+        for part, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if y > x:  # parts of windows come after those of keys
+                sent.append((parts + part, number, a[x:y].tobytes(), b[x:y].tobytes(), _planes(docs[x:y]), b""))
     return _rows(_SENT, sent)
 
 
-def _refine_windows(rows: pa.Table) -> pa.Table:
-    """For each context the smallest document of each of its windows, as runs of neighbouring windows."""
+def _refine_windows(rows: pa.Table, parts: int) -> pa.Table:
+    """For each context the smallest document of each of its windows, as runs of neighbouring windows.
+
+    For windows that were dealt out, the smallest document of each.
+    """
     read = lambda x: np.frombuffer(x, np.uint64)
+    if rows.column("part")[0].as_py() >= parts:
+        a, b, doc, owner, within = _gathered(rows, {"keys": read, "names": read, "docs": _from_planes})
+        order = np.lexsort((b, a))
+        new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]))
+        least = np.repeat(np.minimum.reduceat(doc[order], new), np.diff(np.append(new, len(a))))
+        less = least < doc[order]
+        return _told(rows, owner[order][less], within[order][less], least[less])
     shaped = lambda x: np.frombuffer(x, np.uint8).reshape(-1, CONTEXT)
     key, context, doc, owner, within = _gathered(rows, {"keys": read, "names": shaped, "docs": _from_planes})
     near, far = context[:, -2].astype(np.int64), context[:, -1].astype(np.int64)
@@ -232,10 +309,7 @@ def _refine_windows(rows: pa.Table) -> pa.Table:
         has = np.flatnonzero((near <= back) & (back <= far))
         if not len(has):
             continue
-        window = np.zeros((len(has), 56), np.uint8)
-        window[:, :LENGTH] = context[has, BEFORE - back : BEFORE - back + LENGTH]
-        words = window.view(np.uint64)
-        a, b = _hash(words, 3) ^ key[has], _hash(words, 4)
+        a, b = _window_hashes(context[has], key[has], back)
         order = np.lexsort((b, a))
         new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]))
         low = np.minimum.reduceat(doc[has][order], new)
@@ -263,35 +337,54 @@ def _remove(key: tuple, rows: pa.Table, told: pa.Table, parts: int) -> pa.Table:
         return _rows(_RESULT, [])
     rows = rows.sort_by("place")
     block = _block(rows, parts)
-    # The smallest document that has a context; those of split buckets have runs of windows instead.
-    least = block.ids[block.doc[block.one]].copy()
+    windows = np.array(told.column("windows").to_pylist(), bool)
+    state = _states(block, told.filter(pa.array(~windows)))
     delta = np.zeros(len(block.data) + 1, np.int32)
-    columns = ("part", "which", "runs", "docs", "windows")
-    by_windows, split_which = [], {}
-    for part, which, runs, docs, windows in zip(*(told.column(c).to_pylist() for c in columns), strict=True):
+    own = block.ids[block.doc]
+    of_key = state[block.key_of][block.which]
+
+    def remove(anchor: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        """Marks the bytes of an anchor's windows that start from `first` to `last` bytes before it."""
+        np.add.at(delta, block.start[anchor] - last, 1)
+        np.add.at(delta, block.start[anchor] - first + LENGTH, -1)
+
+    def expanded(anchors: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each anchor with each element of sorted `pair` that is its own."""
+        a, b = (np.searchsorted(pair, block.which[anchors], side) for side in ("left", "right"))
+        return np.repeat(anchors, b - a), np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())
+
+    # Contexts that no bucket splits: the smallest document is known, here or elsewhere.
+    least = np.minimum(block.ids[block.doc[block.one]], np.where(state < DEALT, state, SPLIT)[block.key_of])
+    gone = np.flatnonzero((of_key < DEALT) & (least[block.which] < own))
+    remove(gone, block.near[gone], block.far[gone])
+    answers = told.filter(pa.array(windows))
+    pairs, cuts = _split_pairs(block, state, parts)
+    dealt = np.flatnonzero(state[block.key_of] == DEALT)
+    if len(dealt):
+        pair, back, a, _, new = block.windows(dealt)
+        distinct = np.cumsum(new) - 1
+        smallest = block.ids[block.doc[block.one[pair[new]]]].copy()
+        deal_cuts = np.searchsorted(_part(a[new], parts), np.arange(parts + 1))
+    by_windows = []
+    for part, which, runs, docs in zip(*(answers.column(c).to_pylist() for c in ("part", "which", "runs", "docs")), strict=True):
         which, value = np.frombuffer(which, np.int32), _from_planes(docs)
-        if windows:
-            by_windows.append((part, which, np.frombuffer(runs, np.uint8).reshape(-1, 2), value))
+        if part >= parts:
+            smallest[deal_cuts[part - parts] + which] = value
         else:
-            least[block.cuts[part] + which] = value
-            split_which[part] = np.sort(which[value == SPLIT])
-    own = block.ids[block.doc]
-    gone = np.flatnonzero((least[block.which] < own) & (least[block.which] != SPLIT))
-    np.add.at(delta, block.start[gone] - block.far[gone], 1)
-    np.add.at(delta, block.start[gone] - block.near[gone] + LENGTH, -1)
+            by_windows.append((pairs[cuts[part] + which], np.frombuffer(runs, np.uint8).reshape(-1, 2).astype(np.int64), value))
     if by_windows:
-        pair = np.concatenate([block.cuts[p] + split_which[p][w] for p, w, _, _ in by_windows])
-        runs, value = np.concatenate([x[2] for x in by_windows]).astype(np.int64), np.concatenate([x[3] for x in by_windows])
-        order = np.argsort(pair, kind="stable")
-        pair, runs, value = pair[order], runs[order], value[order]
-        anchors = np.flatnonzero(least[block.which] == SPLIT)
-        a, b = (np.searchsorted(pair, block.which[anchors], side) for side in ("left", "right"))
-        anchor = np.repeat(anchors, b - a)
-        run = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange(len(anchor))
+        pair_of, runs, value = (np.concatenate(x) for x in zip(*by_windows, strict=True))
+        order = np.argsort(pair_of, kind="stable")
+        pair_of, runs, value = pair_of[order], runs[order], value[order]
+        anchor, run = expanded(np.flatnonzero(of_key == SPLIT), pair_of)
         gone = value[run] < own[anchor]
-        anchor, run = anchor[gone], run[gone]
-        np.add.at(delta, block.start[anchor] - runs[run, 1], 1)
-        np.add.at(delta, block.start[anchor] - runs[run, 0] + LENGTH, -1)
+        remove(anchor[gone], runs[run[gone], 0], runs[run[gone], 1])
+    if len(dealt):
+        order = np.argsort(pair, kind="stable")
+        pair_of, back, value = pair[order], back[order], smallest[distinct][order]
+        anchor, window = expanded(np.flatnonzero(of_key == DEALT), pair_of)
+        gone = value[window] < own[anchor]
+        remove(anchor[gone], back[window[gone]], back[window[gone]])
     removed = np.cumsum(delta[:-1]) > 0
     result = []
     for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), block.starts, block.ends, strict=True):
@@ -301,7 +394,9 @@ def _remove(key: tuple, rows: pa.Table, told: pa.Table, parts: int) -> pa.Table:
     return _rows(_RESULT, result)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, common: int = COMMON
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary) for each row of `docs`.
 
     A byte goes if a string of 50 bytes that covers it, in its own document, also starts in a document with a
@@ -315,9 +410,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(parts)))
     grouped = blocks.groupBy("block")
     sent = grouped.applyInArrow(lambda t: _send(t, parts), _SENT_DDL)
-    told = materialize(sent.groupBy("part").applyInArrow(_refine, _ANSWERS_DDL), "refined")
+    told = materialize(sent.groupBy("part").applyInArrow(lambda t: _refine(t, common), _ANSWERS_DDL), "refined")
     split = grouped.cogroup(told.groupBy("block")).applyInArrow(lambda k, a, b: _send_split(k, a, b, parts), _SENT_DDL)
-    windows = materialize(split.groupBy("part").applyInArrow(_refine_windows, _ANSWERS_DDL), "refined-windows")
+    windows = materialize(split.groupBy("part").applyInArrow(lambda t: _refine_windows(t, parts), _ANSWERS_DDL), "refined-windows")
     answers = told.withColumn("windows", F.lit(False)).unionByName(windows.withColumn("windows", F.lit(True)))
     return grouped.cogroup(answers.groupBy("block")).applyInArrow(
         lambda k, a, b: _remove(k, a, b, parts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"

@@ -152,9 +152,10 @@ def removed(docs, **options):
     return Counter(map(tuple, rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()))
 
 
-@pytest.mark.parametrize("block_bytes", [20_000, 1 << 23])
-def test_bytes_equal_plain_python(spark, sample, block_bytes):
-    assert removed(frame(spark, sample), block_bytes=block_bytes) == expected_bytes(sample)
+@pytest.mark.parametrize(("block_bytes", "common"), [(20_000, 50_000), (1 << 23, 50_000), (20_000, 1), (30_000, 4)])
+def test_bytes_equal_plain_python(spark, sample, block_bytes, common):
+    """Also with the windows of all or some contexts dealt out."""
+    assert removed(frame(spark, sample), block_bytes=block_bytes, common=common) == expected_bytes(sample)
 
 
 def test_bytes_with_few_letters(spark):
@@ -162,7 +163,8 @@ def test_bytes_with_few_letters(spark):
     rng = random.Random(3)
     rows = [(n, "".join(rng.choice("ab") * rng.randrange(1, 30) for _ in range(20))) for n in range(25)]
     rows += [(n, "a" * n) for n in range(40, 60)] + [(n, "ab" * n) for n in range(100, 110)]
-    assert removed(frame(spark, rows), block_bytes=1000) == expected_bytes(rows)
+    for common in (2, 50_000):
+        assert removed(frame(spark, rows), block_bytes=1000, common=common) == expected_bytes(rows)
 
 
 def test_byte_edges(spark):
