@@ -109,16 +109,14 @@ def compare(
     for (name, (features, _)), (model, n_train) in zip(boosters.items(), models):
         scored = predict(valid_rows(testing, features), model)
         missing = F.greatest(*[F.col(f).isNull().cast("int") for f in features])
-        dropped = view.agg(F.coalesce(F.sum(missing), F.lit(0)).alias("n_dropped"))
+        dropped = view.agg(F.coalesce(F.sum(missing), F.lit(0)))
         results.append(
-            auc_exact(scored, "IsLaundering", "LaunderingProbability")
-            .crossJoin(dropped)  # one row each
-            .select(
+            auc_exact(scored, "IsLaundering", "LaunderingProbability").select(
                 F.lit(name).alias("model"),
                 "auc",
                 F.lit(n_train).cast("bigint").alias("n_train"),
                 (F.col("n_positive") + F.col("n_negative")).alias("n_test"),
-                "n_dropped",
+                dropped.scalar().alias("n_dropped"),
             )
         )
     return reduce(DataFrame.unionByName, results)

@@ -1,7 +1,6 @@
 """End-to-end jobs: read, transform, write. Each stage hands the next a table, not a live plan."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.operators.clean import clean_transactions

@@ -50,8 +50,8 @@ def last_windows(rows: DataFrame, closed: DataFrame, window: str = "1 day") -> D
 
     Windows close in order of time, so they are those from the end of the last closed one on; all, if none has closed.
     """
-    end = closed.agg(F.max("window_end").alias("end"))
-    later = rows.join(F.broadcast(end), F.col("end").isNull() | (F.col("Timestamp") >= F.col("end"))).drop("end")  # one row
+    end = closed.agg(F.max("window_end")).scalar()
+    later = rows.where(end.isNull() | (F.col("Timestamp") >= end))
     return account_windows(later, window).select(closed.columns)
 
 
