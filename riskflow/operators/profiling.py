@@ -1,6 +1,6 @@
 """Data-quality counts. Each is one pass over its input."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,6 @@ def row_counts(rows: DataFrame) -> DataFrame:
 
 
 def class_distribution(rows: DataFrame, label: str) -> DataFrame:
-    """Count and share of each class. The window runs over one row per class."""
-    everything = Window.partitionBy()
-    return value_counts(rows, label).withColumn("share", F.col("count") / F.sum("count").over(everything))
+    """Count and share of each class, also where a class is rare or the column takes many values."""
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return value_counts(rows, label).withColumn("share", F.col("count") / total)
