@@ -28,7 +28,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from riskflow.llm.common import chunks
 
 #: Words that a task remembers the tokens of, twice at most, and the longest of them.
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 250_000, 64
+REMEMBERED_WORDS, REMEMBERED_LENGTH = 150_000, 64
 #: The largest vocabulary file that is sent to the executors.
 LARGEST_VOCABULARY = 64 << 20
 #: Moves the character that ends a word away from the same character inside a word.
@@ -174,7 +174,7 @@ class Tokenizer:
                 limit, b = b + 1, self.left[b]
             else:
                 break
-        if len(self.compatible) >= 4 * REMEMBERED_WORDS:
+        if len(self.compatible) >= 2 * REMEMBERED_WORDS:
             self.compatible.clear()
         self.compatible[pair] = known
         return known
