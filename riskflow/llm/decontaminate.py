@@ -108,12 +108,10 @@ class Index:
                     bound += c[2][k][1]
                     end = c[2][k][0] if end is None else min(end, c[2][k][0])
             if bound < threshold - 1e-9:
-                to = max(item, end if end is not None else item) + 1
-                if pivot + 1 < len(lists):
+                to = (item if end is None else end) + 1
+                if pivot + 1 < len(lists):  # a list that the bound left out; it stands after the pivot item
                     to = min(to, lists[pivot + 1][0][lists[pivot + 1][1]][0])
-                to = max(to, item)
                 moved = lists[: pivot + 1]
-                to = item + 1 if to <= item else to
             elif lists[0][0][lists[0][1]][0] == item:
                 score = sum(c[0][c[1]][1] for c in lists[: pivot + 1])
                 if score >= threshold - 1e-9:
