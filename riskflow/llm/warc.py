@@ -146,7 +146,8 @@ def reached_pieces(candidates: DataFrame) -> DataFrame:
     )
     # Only offsets that some chain enters a split by can lie on the path.
     entered = exits.select("file", F.col("leaves").alias("offset")).union(exits.select("file", F.lit(0).cast("long"))).distinct()
-    jumps = exits.join(entered, ["file", "offset"])
+    # Tables with a row for each candidate are merged, not broadcast.
+    jumps = exits.hint("merge").join(entered, ["file", "offset"])
     hops = materialize(jumps.select("file", F.col("offset").alias("at"), F.col("leaves").alias("to")), "warc-hops")
     reached = exits.select("file", F.lit(0).cast("long").alias("at")).distinct()
     count = -1
@@ -162,7 +163,7 @@ def reached_pieces(candidates: DataFrame) -> DataFrame:
     way = jumps.join(reached.withColumnRenamed("at", "offset"), ["file", "offset"])
     entries = way.groupBy("file", "split").agg(F.min("offset").alias("entry"), F.max("last").alias("last"))
     stops = known.select("file", F.col("offset").alias("last"), F.col("stop").alias("last_stop"))
-    splits = known.select("file", "split").distinct().join(entries, ["file", "split"], "left").join(stops, ["file", "last"], "left")
+    splits = known.select("file", "split").distinct().join(entries, ["file", "split"], "left").join(stops.hint("merge"), ["file", "last"], "left")
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     carried = lambda c: F.coalesce(F.last(c, True).over(before), F.lit(-1))
     splits = splits.select(
@@ -191,7 +192,6 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     ends = placed.groupBy("file").agg(F.max(F.col("offset") + len(MAGIC) + F.col("size")).alias("file_end"))
     owners = materialize(reached_pieces(candidates), "warc-owners").where("owner >= 0")
     fields = ["head", "http_head", "payload_sha1", "payload_size"]
-    # Merged, as both sides have a row for each record.
     records = candidates.join(owners.where("offset = owner").select("file", "offset").hint("merge"), ["file", "offset"])
     records = records.join(ends, "file").where("stop <= file_end").drop("file_end")
     whole = (F.col("size") + len(MAGIC)) == F.col("declared")
