@@ -207,19 +207,11 @@ def _index(key: str, items) -> Index:
     return _indexes[key]
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text"
-) -> DataFrame:
-    """Pairs of a document and a test item that it holds: doc_id, item_id, score, question, answer.
-
-    `score` is the best BM25 score of a passage as a share of the item's own; `question` and `answer` are
-    the shares of their shingles found around such passages. Both must be `overlap` or more. Words are
-    runs of letters, digits and underscores, in small letters. Null and empty texts hold nothing; items that are null or have
-    no word are never found. Rows with equal doc_id give one pair for an item, the best. No item gives no row.
-    """
+def _pairs(docs: DataFrame, items: DataFrame, keys: list[str], threshold: float, overlap: float) -> DataFrame:
+    """For each row of `docs` and item that its text holds: the row's keys (longs), item_id, score, question, answer."""
     spark = docs.sparkSession
-    schema = "doc_id long, item_id long, score double, question double, answer double"
-    rows = docs.select("doc_id", F.col(text).alias("text"))
+    names = [*keys, "item_id", "score", "question", "answer"]
+    schema = ", ".join([*(f"{k} long" for k in keys), "item_id long", "score double", "question double", "answer double"])
     found = spark.createDataFrame([], schema)
     for number, shard in enumerate(_shards(items)):
         key, sent = f"{id(shard)}:{number}:{len(shard)}:{hash(tuple(shard))}", spark.sparkContext.broadcast(shard)
@@ -229,22 +221,44 @@ def contaminated(
             for batch in batches:
                 for part in chunks(batch, "text"):
                     hits = [
-                        (d, index.items[item], *numbers)
-                        for d, t in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)
+                        (n, index.items[item], *numbers)
+                        for n, t in enumerate(part.column("text").to_pylist())
                         if t
                         for item, *numbers in _hits(index, t, threshold, overlap)
                     ]
-                    names = ["doc_id", "item_id", "score", "question", "answer"]
                     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-                    columns = zip(*hits, strict=True) if hits else [[]] * 5
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                    rows, *columns = (pa.array(c, t) for c, t in zip(zip(*hits, strict=True) if hits else [[]] * 5, types, strict=True))
+                    yield pa.RecordBatch.from_arrays([*(part.column(k).take(rows) for k in keys), *columns], names=names)
+
+        found = found.union(docs.mapInArrow(run, schema))
+    return found
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text"
+) -> DataFrame:
+    """Pairs of a document and a test item that it holds: doc_id, item_id, score, question, answer.
 
-        found = found.union(rows.mapInArrow(run, schema))
+    `score` is the best BM25 score of a passage as a share of the item's own; `question` and `answer` are
+    the shares of their shingles found around such passages. Both must be `overlap` or more. Words are
+    runs of letters, digits and underscores, in small letters. Null and empty texts hold nothing; items that are null or have
+    no word are never found. Rows with equal doc_id give one pair for an item, the best. No item gives no row.
+    """
+    found = _pairs(docs.select("doc_id", F.col(text).alias("text")), items, ["doc_id"], threshold, overlap)
     best = F.max(F.struct("score", "question", "answer")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that hold no test item, whatever their doc_id is; all columns stay."""
-    bad = contaminated(docs, items, **options).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, text: str = "text"
+) -> DataFrame:
+    """The rows of `docs` that hold no test item, whatever their doc_id is; all columns stay.
+
+    A row is known by its doc_id and two hashes of its text, so rows with a null or repeated id are judged each by its own text.
+    """
+    hashes = {"__h1": F.xxhash64(text), "__h2": F.xxhash64(F.lit(1), text)}
+    rows = docs.select("doc_id", F.col(text).alias("text"), *(h.alias(n) for n, h in hashes.items()))
+    bad = _pairs(rows, items, ["doc_id", *hashes], threshold, overlap).select("doc_id", *hashes).distinct()
+    bad = bad.toDF("__bad", "__bad1", "__bad2")
+    same = F.col("doc_id").eqNullSafe(F.col("__bad")) & (F.col("__h1") == F.col("__bad1")) & (F.col("__h2") == F.col("__bad2"))
+    return docs.withColumns(hashes).join(bad, same, "left_anti").drop(*hashes)

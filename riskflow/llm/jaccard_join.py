@@ -240,16 +240,16 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(found, pa.binary())], names=[*kept, "shingles"])
 
 
-def similar_documents(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id and n_links for each row of `docs`.
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    rows = docs.select("doc_id", text_or_empty(text).alias("text"))
+    return rows.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
 
-    Two documents are linked if the Jaccard similarity of their shingle sets is `threshold` or more, or if their
-    texts are equal. A class is what links connect; its id is its smallest doc_id, null if it has none.
-    `n_links` counts the other rows that a row is linked to. A null text is empty; equal empty texts are
-    linked. Rows with equal ids are rows of their own.
+
+def _linked_texts(keyed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The rows with their signatures, and the distinct texts, written: h1, h2, first_id, copies, links, root.
+
+    Texts of one class, and no others, have the same root.
     """
-    rows = docs.select("doc_id", text_or_empty(text).alias("text"))
-    keyed = rows.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
     signed = materialize(
         keyed.mapInArrow(_signatures, "doc_id long, h1 long, h2 long, size int, values binary, bands array<long>"), "signatures"
     )
@@ -300,9 +300,36 @@ def similar_documents(docs: DataFrame, text: str = "text", threshold: float = TH
     counted = verified.groupBy(F.col("a").alias("text")).agg(F.sum("links").alias("links"))
     known = texts.select("text", "h1", "h2", "first_id", "copies").join(counted, "text", "left")
     known = known.join(classes.withColumnRenamed("node", "text"), "text", "left").withColumn("root", F.coalesce("root", "text"))
-    known = materialize(known, "linked-texts")
+    return signed, materialize(known, "linked-texts")
+
+
+def similar_documents(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id and n_links for each row of `docs`.
+
+    Two documents are linked if the Jaccard similarity of their shingle sets is `threshold` or more, or if their
+    texts are equal. A class is what links connect; its id is its smallest doc_id, null if it has none.
+    `n_links` counts the other rows that a row is linked to. A null text is empty; equal empty texts are
+    linked. Rows with equal ids are rows of their own.
+    """
+    signed, known = _linked_texts(_keyed(docs, text), threshold)
     named = known.groupBy("root").agg(F.min("first_id").alias("class_id"))
     answers = known.join(named, "root").select(
         "h1", "h2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     return signed.select("doc_id", "h1", "h2").join(answers, ["h1", "h2"]).select("doc_id", "class_id", "n_links")
+
+
+def one_of_each_class(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each class of `similar_documents`, with all columns: that with the smallest doc_id, nulls last.
+
+    Of rows with that id the text's hashes decide, of rows equal in both the place in a table written here.
+    """
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-documents")
+    _, known = _linked_texts(_keyed(rows, text), threshold)
+    body = text_or_empty(text)
+    hashed = rows.select("doc_id", "__row", F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(1), body).alias("h2"))
+    # Rows are reduced to one for each text before they meet their class, so a common text is no heavy key.
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", "__row")
+    firsts = hashed.groupBy("h1", "h2").agg(F.min(rank).alias("first"))
+    kept = firsts.join(known.select("h1", "h2", "root"), ["h1", "h2"]).groupBy("root").agg(F.min("first").alias("first"))
+    return rows.join(kept.select("first.__row"), "__row", "left_semi").select(*docs.columns)

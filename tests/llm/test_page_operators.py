@@ -323,6 +323,13 @@ def test_item_edges(spark):
     assert kept.count() == len(ROWS) - 1 and kept.columns == documents(spark).columns
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    item = "what is the color of the deep sea today? it is green and blue."
+    rows = [(None, f"so {item} ok"), (None, "clean words"), (None, None), (7, f"x {item}"), (7, "other clean words"), (7, "other clean words"), (8, "fine")]
+    kept = decontaminate.without_contaminated(frame(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[1], rows[2], *rows[4:]])
+
+
 # Pipeline
 
 
@@ -350,6 +357,17 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert last.columns == [*docs.columns, "ids", "n_tokens"] and last.count() == clean.count()
 
 
+def test_near_copies_leave_one_row_of_each_class(spark):
+    common = "the quick brown fox jumps over the lazy dog near the river bank today"
+    rows = [(None, "no id at all one"), (None, "no id at all one"), (None, "another text without id"), (None, common)]
+    rows += [(3, common), (3, common), (7, common), (7, "alone under a used id"), (7, "alone under a used id"), (9, "a third one")]
+    kept = corpus_pipeline.one_of_each_group(spark, frame(spark, rows), None)
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[0], rows[2], rows[4], rows[7], rows[9]])
+    edges = corpus_pipeline.one_of_each_group(spark, documents(spark), None)
+    assert edges.columns == documents(spark).columns
+    assert Counter(r.doc_id for r in edges.collect()) == Counter([1, 3, 4, 5, 6, 8, 9, 10])
+
+
 def test_pipeline_keeps_clashing_columns(spark):
     docs = documents(spark).withColumn("source", F.lit("s")).withColumn("n_chars", F.lit(0).cast("long"))
     for name, stage in corpus_pipeline.STAGES[:3]:
