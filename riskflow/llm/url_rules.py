@@ -21,9 +21,9 @@ LISTED_RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-#: Share of the labelled pages that have a rule's tokens and a bad label, and share of bad labels among
-#: the pages that have its tokens.
-MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.8
+#: Labelled pages that have a rule's tokens and a bad label, however many other pages there are, and share
+#: of bad labels among the pages that have its tokens.
+MIN_PAGES, MIN_CONFIDENCE = 10, 0.8
 BAD = "=bad"
 
 
@@ -59,19 +59,24 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_rules(
-    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+    labelled: DataFrame, min_support: float | None = None, min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES
 ) -> DataFrame:
     """Token combinations that foretell a bad label: rule_id, tokens, support, confidence.
 
-    `labelled` has columns url and bad (boolean); rows with a null in either teach nothing. A rule is
+    `labelled` has columns url and bad (boolean); rows with a null in either teach nothing. A rule needs
+    `min_pages` bad pages with its tokens or, if given, the share `min_support` of all labelled pages. It is
     left out if a rule with fewer tokens, all of them its own, is kept. No labelled row gives no rule.
     """
     spark = labelled.sparkSession
     items = F.concat(url_tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
     baskets = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(items.alias("items"))
     empty = spark.createDataFrame([], "rule_id long, tokens array<string>, support double, confidence double")
-    if baskets.isEmpty():
+    count = baskets.count()
+    if count < (min_pages if min_support is None else 1):
         return empty
+    if min_support is None:
+        # Rounded up to a number of pages by FPGrowth; half a page less keeps that from being one too many.
+        min_support = (min_pages - 0.5) / count
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
     found = materialize(
@@ -110,8 +115,9 @@ def judge_urls(
     pages: DataFrame,
     labelled: DataFrame,
     rules: Sequence[tuple[str, str, str]] = LISTED_RULES,
-    min_support: float = MIN_SUPPORT,
+    min_support: float | None = None,
     min_confidence: float = MIN_CONFIDENCE,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """All rows and columns of `pages` with host, path, rule and verdict (`allow` or `block`).
 
@@ -121,7 +127,7 @@ def judge_urls(
     names are replaced.
     """
     pages = pages.drop("host", "path", "rule", "verdict")
-    mined = materialize(mine_rules(labelled, min_support, min_confidence), "mined-url-rules")
+    mined = materialize(mine_rules(labelled, min_support, min_confidence, min_pages), "mined-url-rules")
     blocked = matched_urls(pages, mined).select(F.col("url").alias("__url"))
     host, path = url_parts(F.col("url"))
     rule, verdict = listed_rule(F.col("host"), F.col("path"), rules)

@@ -107,6 +107,18 @@ def test_mined_rules_block(spark):
     assert url_rules.judge_urls(spark.createDataFrame([], PAGES), labelled).count() == 0
 
 
+def test_a_bad_host_is_found_among_any_number_of_pages(spark):
+    bad = [(f"http://spam.com/offer/{n}", True) for n in range(url_rules.MIN_PAGES)]
+    few = [(f"http://rare.com/thing/{n}", True) for n in range(url_rules.MIN_PAGES - 1)]
+    pages = spark.createDataFrame([(1, "http://spam.com/new", ""), (2, "http://rare.com/new", ""), (3, "http://good1.com/new", "")], PAGES)
+    for others in (500, 5_000):
+        good = [(f"http://good{n % 50}.com/en/{n}", False) for n in range(others)]
+        labelled = spark.createDataFrame(bad + few + good, "url string, bad boolean")
+        verdicts = {r.page_id: r.verdict for r in url_rules.judge_urls(pages, labelled).collect()}
+        assert verdicts == {1: "block", 2: "allow", 3: "allow"}, others
+    assert url_rules.mine_rules(spark.createDataFrame(few, "url string, bad boolean")).count() == 0
+
+
 # Archives
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
