@@ -7,20 +7,23 @@ reach it together isn't searched at all; the others are searched by block-max WA
 items, and over blocks, that can't reach it. What is found is verified on the words themselves: the
 share of the item's question, and of its answer, whose five-word shingles are in the document.
 
-Items are indexed in shards of a bounded size, and each shard is a pass over the documents.
+Items are indexed in shards of a bounded size, and each shard is a pass over the documents. Document
+frequencies, the mean length and the size of passages are of all items, so scores don't depend on the shards.
 """
 
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from math import log
+from dataclasses import dataclass
+from math import fsum, log
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chunks
+from riskflow.llm.common import chunks, materialize
 
 #: Items whose index goes to the executors at once, and the text bytes of these.
 SHARD_ITEMS, SHARD_BYTES = 2_000, 8 << 20
@@ -51,18 +54,34 @@ def shingles(found: list[str]) -> set[tuple[str, ...]]:
     return {tuple(found[i : i + SHINGLE]) for i in range(max(1, len(found) - SHINGLE + 1))} if found else set()
 
 
+@dataclass
+class Statistics:
+    """Of all items: their count, mean and longest length in words, and by term the number of items that have it."""
+
+    count: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
+def statistics(items: list[tuple[int, str]]) -> Statistics:
+    found = [words(t) for _, t in items]
+    lengths = [len(w) for w in found]
+    return Statistics(len(items), sum(lengths) / max(1, len(lengths)), max(lengths, default=0), Counter(t for w in found for t in set(w)))
+
+
 class Index:
-    """BM25 postings of some items, with the largest weight of each block."""
+    """BM25 postings of some items, with the largest weight of each block; `known` is of all items, of these if not given."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], known: Statistics | None = None):
+        known = known or statistics(items)
         self.items = [i for i, _ in items]
         parts = [question_and_answer(t) for _, t in items]
         self.parts = [(shingles(q), shingles(a)) for q, a in parts]
         bags = [Counter(words(t)) for _, t in items]
         lengths = [sum(b.values()) for b in bags]
-        mean = sum(lengths) / max(1, len(lengths)) or 1
-        df = Counter(t for b in bags for t in b)
-        idf = {t: log(1 + (len(bags) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        mean = known.mean or 1
+        idf = {t: log(1 + (known.count - n + 0.5) / (n + 0.5)) for t, n in known.df.items()}
         postings = defaultdict(list)
         for n, (bag, length) in enumerate(zip(bags, lengths, strict=True)):
             weight = {t: idf[t] * f * (K1 + 1) / (f + K1 * (1 - B + B * length / mean)) for t, f in bag.items()}
@@ -81,7 +100,7 @@ class Index:
                     r = n * level.shape[1] // len(items)
                     level[t, r] = max(level[t, r], w)
         #: Passages have twice the words of the longest item and overlap by half, so each item fits in one.
-        self.window = 2 * max([SHINGLE, *lengths])
+        self.window = 2 * max(SHINGLE, known.longest)
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All items that score `threshold` or more for the distinct terms, by block-max WAND."""
@@ -113,7 +132,8 @@ class Index:
                     to = min(to, lists[pivot + 1][0][lists[pivot + 1][1]][0])
                 moved = lists[: pivot + 1]
             elif lists[0][0][lists[0][1]][0] == item:
-                score = sum(c[0][c[1]][1] for c in lists[: pivot + 1])
+                # Exact, as the order of the lists differs from shard to shard.
+                score = fsum(c[0][c[1]][1] for c in lists[: pivot + 1])
                 if score >= threshold - 1e-9:
                     found.append((item, score))
                 moved, to = lists[: pivot + 1], item + 1
@@ -182,18 +202,45 @@ def _hits(index: Index, text: str, threshold: float, overlap: float) -> list[tup
     return result
 
 
-def _shards(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items in parts of a bounded size; the driver holds one at a time."""
-    shard, size = [], 0
+def _known(rows: DataFrame) -> tuple[Statistics, DataFrame]:
+    """Statistics of all items without `df`, and that as a table: term, df."""
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [len(words(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["length"])
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                found = [w for t in part.column("text").to_pylist() for w in set(words(t))]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["term"])
+
+    total = rows.mapInArrow(lengths, "length long").agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    df = rows.mapInArrow(terms, "term string").groupBy("term").agg(F.count("*").alias("df"))
+    return Statistics(total[0], (total[1] or 0) / max(1, total[0]), total[2] or 0, {}), materialize(df, "item-terms")
+
+
+def _shards(items: DataFrame) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """Items in parts of a bounded size, with the statistics of all items for their terms; the driver holds one part at a time."""
     rows = items.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").distinct()
+    known, df = _known(rows)
+
+    def with_statistics(shard: list[tuple[int, str]]) -> tuple[list[tuple[int, str]], Statistics]:
+        own = sorted({w for _, t in shard for w in words(t)})
+        wanted = items.sparkSession.createDataFrame([(w,) for w in own], "term string")
+        found = {r.term: r.df for r in df.join(wanted, "term", "left_semi").collect()}
+        return shard, Statistics(known.count, known.mean, known.longest, found)
+
+    shard, size = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         if shard and (len(shard) >= SHARD_ITEMS or size + len(row[1]) > SHARD_BYTES):
-            yield shard
+            yield with_statistics(shard)
             shard, size = [], 0
         shard.append((row[0], row[1]))
         size += len(row[1])
     if shard:
-        yield shard
+        yield with_statistics(shard)
 
 
 _indexes: dict[str, Index] = {}
@@ -203,7 +250,7 @@ def _index(key: str, items) -> Index:
     """The index of one shard for each Python process."""
     if key not in _indexes:
         _indexes.clear()
-        _indexes[key] = Index(items.value)
+        _indexes[key] = Index(*items.value)
     return _indexes[key]
 
 
@@ -213,8 +260,8 @@ def _pairs(docs: DataFrame, items: DataFrame, keys: list[str], threshold: float,
     names = [*keys, "item_id", "score", "question", "answer"]
     schema = ", ".join([*(f"{k} long" for k in keys), "item_id long", "score double", "question double", "answer double"])
     found = spark.createDataFrame([], schema)
-    for number, shard in enumerate(_shards(items)):
-        key, sent = f"{id(shard)}:{number}:{len(shard)}:{hash(tuple(shard))}", spark.sparkContext.broadcast(shard)
+    for shard in _shards(items):
+        key, sent = uuid4().hex, spark.sparkContext.broadcast(shard)
 
         def run(batches: Iterator[pa.RecordBatch], key=key, sent=sent) -> Iterator[pa.RecordBatch]:
             index = _index(key, sent)

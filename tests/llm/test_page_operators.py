@@ -325,6 +325,23 @@ def test_shards_find_the_same(spark, sf_dir, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == whole
 
 
+def test_scores_do_not_depend_on_shards(spark, sf_dir, monkeypatch):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").limit(7).collect()]
+    docs = frame(spark, [(n, f"before it {t} and after it") for n, t in items])
+    items = spark.createDataFrame([*items, (999, ""), (998, "longer " * 400)], "item_id long, text string")
+    whole = Counter(map(tuple, decontaminate.contaminated(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 3)
+    assert Counter(map(tuple, decontaminate.contaminated(docs, items).collect())) == whole and len(whole) >= 7
+    # A share of an item's words, whose score tells the statistics: half of them here, of different weight.
+    texts = [" ".join(f"w{n}x{k}" if k % 2 else f"c{k}" for k in range(12)) for n in range(7)]
+    items = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "item_id long, text string")
+    docs = frame(spark, [(n, " ".join(t.split()[:7])) for n, t in enumerate(texts)])
+    found = lambda: {(r.doc_id, r.item_id, r.score) for r in decontaminate.contaminated(docs, items, 0.1, 0.2).collect()}
+    parts = found()
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", 100)
+    assert found() == parts and {(n, n) for n in range(7)} <= {(d, i) for d, i, _ in parts}
+
+
 def test_item_edges(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "word"), (3, "word"), (4, "fox jumps over the lazy dog near the river. The bank today? Yes!")], "item_id long, text string")
     found = Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(spark), items).collect())
