@@ -4,8 +4,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm import bpe, decontaminate, fingerprints, jaccard_join, language, line_dedup, pii, suffix_dedup, url_rules, warc
-from riskflow.llm.common import table
+from riskflow.llm import (
+    bpe,
+    conversation_repair,
+    decontaminate,
+    fingerprints,
+    jaccard_join,
+    language,
+    line_dedup,
+    pii,
+    quality_rules,
+    spelling_variants,
+    suffix_dedup,
+    url_rules,
+    warc,
+)
+from riskflow.llm.common import materialize, table
 from riskflow.sources.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -82,6 +96,37 @@ def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    found = spelling_variants.runs(table(spark, sf, "documents"), spelling_variants.MIN_LENGTH)
+    return spelling_variants.group_variants(spelling_variants.counted_words(spelling_variants.misspelled(found)))
+
+
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    report = conversation_repair.repair_report(conversation_repair.repair(conversation_repair.damaged(rows)))
+    every = rows.select(F.col("conv_id").alias("_id")).distinct()
+    found = every.join(report, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    numbers = ["gaps", *conversation_repair.COUNTS, "cost"]
+    return found.select(
+        F.col("_id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    stored = materialize(quality_rules.ledger(table(spark, sf, "documents")), "ledger")
+    base = F.col("failures").bitwiseAND(F.lit(quality_rules.BASE)) != 0
+    return quality_rules.apply_policy(stored).select(
+        "doc_id",
+        *["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
+        base.alias("base_failed"),
+        "kept",
+        "failures",
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -93,4 +138,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_quality_rules": op13_quality_rules,
 }
