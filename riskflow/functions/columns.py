@@ -96,3 +96,15 @@ def median_hour() -> Column:
     """
     below = " + ".join(f"int(2 * _to{h} < _to23)" for h in range(23))
     return F.expr(f"CASE WHEN _to23 > 0 THEN {below} END")
+
+
+def histogram_median(hours: str) -> Column:
+    """Lower median from an array of 24 counts, null without any count."""
+    total = F.aggregate(hours, F.lit(0).cast("bigint"), lambda a, h: a + h)
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(0).alias("hour"))
+
+    def step(a: Column, h: Column) -> Column:
+        seen = a["seen"] + h
+        return F.struct(seen.alias("seen"), (a["hour"] + F.when(2 * seen < total, 1).otherwise(0)).alias("hour"))
+
+    return F.when(total > 0, F.aggregate(hours, start, step)["hour"])

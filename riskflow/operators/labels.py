@@ -1,5 +1,6 @@
 """Label tables and their join to features."""
 
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,23 @@ def features_with_bank_labels(features: DataFrame, rows: DataFrame, label: str =
         .drop("_bank", "_salt")
         .withColumn("IsLaundering", F.coalesce("IsLaundering", F.lit(0)))
     )
+
+
+def label_index(rows: DataFrame, label: str) -> StringIndexerModel:
+    """An index of label texts in their alphabetical order, whatever their frequencies, with one bucket more for all others.
+
+    The bucket's number is that of the labels; nulls and texts not seen here fall into it. The model can be saved. Labels are
+    few, by their nature: the model holds all of them.
+    """
+    return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(rows)
+
+
+def with_label_index(rows: DataFrame, label: str, index: StringIndexerModel, out: str = "label") -> DataFrame:
+    """The rows with the number of their label in `out`, as double."""
+    return index.copy().setInputCol(label).setOutputCol(out).transform(rows)
+
+
+def unseen_labels(rows: DataFrame, label: str, index: StringIndexerModel) -> DataFrame:
+    """label, n_rows for each text (or null) that the index doesn't know."""
+    other = with_label_index(rows.select(label), label, index, "__label").where(F.col("__label") == len(index.labels))
+    return other.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -65,6 +65,16 @@ def balanced_split(rows: DataFrame, label: str, key: str, train: float = 0.8, se
     return oversample_replicate(training, label, key, seed), testing
 
 
+def class_weights(rows: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Rows with a weight that gives both classes the same sum, half the number of rows: balance without copies.
+
+    One count per class; every row stays one row, so no key becomes hot. Raises unless both classes occur.
+    """
+    sizes = class_sizes(rows, label)
+    total = sum(sizes.values())
+    return rows.withColumn(out, F.when(F.col(label) == 1, total / (2 * sizes[1])).otherwise(total / (2 * sizes[0])))
+
+
 def exact_sample(rows: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     """`n` rows without replacement. Each task keeps its best `n`; there is no full sort."""
     draw = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.functions.columns import at_least, hash_uniform, round_half_up
-from riskflow.operators.models import positive_probability
+from riskflow.operators.models import input_columns, positive_probability
+from riskflow.operators.stages import FillDefaults
 from riskflow.sources.readers import require_columns
 
 
@@ -73,28 +74,43 @@ def with_account_features(batch: DataFrame, features: DataFrame) -> DataFrame:
     return batch.join(features.select("From_Account", *wanted), "From_Account", "left")
 
 
+def with_defaults(model: PipelineModel, defaults: dict[str, float] = S.DEFAULT_FEATURES, zeros: tuple[str, ...] = ("StdDevAmount",), fill_nulls: bool = False) -> PipelineModel:
+    """A fitted pipeline that fills features by itself: saved and loaded, it needs no list of defaults.
+
+    Only the features it reads get a default. Nulls in `zeros` become 0, as in training.
+    """
+    read = input_columns(model)
+    fill = FillDefaults.of({c: v for c, v in defaults.items() if c in read}, zeros, fill_nulls)
+    return PipelineModel([fill, *(s for s in model.stages if not isinstance(s, FillDefaults))])
+
+
 def score_batch_by_model(
-    batch: DataFrame, model: PipelineModel, threshold: float = S.DECISION_THRESHOLD, fill_nulls: bool = False
+    batch: DataFrame, model: PipelineModel, threshold: float = S.DECISION_THRESHOLD, fill_nulls: bool | None = None
 ) -> DataFrame:
-    """Like `score_batch_by_rule` with a fitted model, and `Imputed`.
+    """Like `score_batch_by_rule` with a fitted pipeline, and `Imputed`.
 
-    A null spread is 0, as in training. A row that lacks another feature has no score and no prediction, unless `fill_nulls`
-    gives it the default. `Imputed` is 1 for rows of which a feature that the model reads is a default.
+    A pipeline from `with_defaults` fills features as it was saved to, unless `fill_nulls` says otherwise; another one gets the default list. A null spread is
+    0, as in training. A row that lacks another feature has no score and no prediction, unless nulls are filled.
+    `Imputed` is 1 for rows of which a feature that the model reads is a default.
     """
     require_columns(batch, ["From_Account"])
-    assembler, trees = model.stages[0], model.stages[1:]
-    read = assembler.getInputCols()
-    given = fill_spread(batch)
-    absent = [F.col(c).isNull() if c in given.columns else F.lit(True) for c in read]
-    marked = given.withColumn("Imputed", F.greatest(F.lit(0), *[a.cast("int") for a in absent]))
-    filled = fill_missing_columns(marked, fill_nulls)
+    if not isinstance(model.stages[0], FillDefaults):
+        model = with_defaults(model, fill_nulls=bool(fill_nulls))
+    fill, rest = model.stages[0], model.stages[1:]
+    if fill_nulls is not None:
+        fill = fill.copy({fill.fillNulls: "true" if fill_nulls else "false"})
+    read = input_columns(model)
+    filled = fill.transform(batch)
+    others = {c: F.lit(v) for c, v in S.DEFAULT_FEATURES.items() if c not in filled.columns}
     usable = F.lit(True)
     for c in read:
         usable = usable & F.col(c).isNotNull()
-    scored = PipelineModel([assembler.copy().setHandleInvalid("keep"), *trees]).transform(filled)
+    keeping = [s.copy().setHandleInvalid("keep") if hasattr(s, "setHandleInvalid") else s for s in rest]
+    scored = PipelineModel(keeping).transform(filled)
     scored = scored.withColumn("LaunderingProbability", F.when(usable, positive_probability()))
     scored = scored.withColumn("Imputed", F.when(usable, F.col("Imputed")).otherwise(0))
-    return with_prediction(scored.select(*filled.columns, "LaunderingProbability"), threshold)
+    scored = scored.select(*filled.columns, "LaunderingProbability").withColumns(others)
+    return with_prediction(scored.select(*filled.columns, *others, "LaunderingProbability"), threshold)
 
 
 def preview(scored: DataFrame, key: str, n: int = 100) -> DataFrame:

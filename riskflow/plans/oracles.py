@@ -62,6 +62,59 @@ LABELLED = f"""{EVENT_FEATURES}, {EVENT_LABELS}
 SELECT f.*, coalesce(l.IsLaundering, 0) AS IsLaundering FROM f LEFT JOIN l USING (From_Account)"""
 
 
+BINS, UNIT = 256, 67108864
+
+
+def _booster(trees: int, depth: int = 6, rate: float = 0.1) -> str:
+    """Splits of the first trees, each level from sums over (node, feature, bin)."""
+    features = [c for c in BOOSTED if c != "StdDevAmount"]
+    shares = ", ".join(str(k / BINS) for k in range(1, BINS))
+    cuts = ", ".join(f"list_sort(list_distinct(quantile_disc({f}, [{shares}]))) AS c{k}" for k, f in enumerate(features))
+    bins = ", ".join(f"len(list_filter(c{k}, lambda c: c <= {f}))" for k, f in enumerate(features))
+    names = "[" + ", ".join(f"'{f}'" for f in features) + "]"
+    doubles = ", ".join(f"cast({f} AS double) AS {f}" for f in features)
+    steps = [
+        f"x AS (SELECT row_number() OVER () AS rid, IsLaundering AS label, {doubles} FROM ml WHERE {_uniform('From_Account')} < cast(0.8 AS double))",
+        f"cuts AS (SELECT {cuts} FROM x)",
+        f"b AS MATERIALIZED (SELECT rid, label, [{bins}] AS bins FROM x, cuts)",
+        f"cut_of AS (SELECT [{', '.join(f'c{k}' for k in range(len(features)))}] AS cuts FROM cuts)",
+        "m0 AS (SELECT rid, cast(0 AS double) AS margin FROM b)",
+    ]
+    for t in range(trees):
+        steps.append(
+            f"""g{t} AS MATERIALIZED (SELECT rid, bins, cast(round((p - label) * {UNIT}) AS bigint) AS g, cast(round(p * (1 - p) * {UNIT}) AS bigint) AS h
+  FROM (SELECT rid, bins, label, 1 / (1 + exp(-margin)) AS p FROM b JOIN m{t} USING (rid)))"""
+        )
+        steps.append(f"n{t}_0 AS (SELECT rid, 1 AS node FROM b)")
+        for d in range(depth):
+            steps += [
+                f"""cells{t}_{d} AS (SELECT node, feature, bin, sum(g) AS g, sum(h) AS h, count(*) AS n
+  FROM (SELECT node, g, h, unnest(bins) AS bin, unnest(range({len(features)})) AS feature
+        FROM n{t}_{d} JOIN g{t} USING (rid) WHERE node >= {1 << d}) GROUP BY ALL)""",
+                f"""sums{t}_{d} AS (SELECT node, feature, lead(bin) OVER w AS bin, sum(g) OVER w / cast({UNIT} AS double) AS gl,
+    sum(h) OVER w / cast({UNIT} AS double) AS hl, sum(g) OVER a / cast({UNIT} AS double) AS ga, sum(h) OVER a / cast({UNIT} AS double) AS ha,
+    (sum(g) OVER a - sum(g) OVER w) / cast({UNIT} AS double) AS gr, (sum(h) OVER a - sum(h) OVER w) / cast({UNIT} AS double) AS hr, sum(n) OVER a AS n
+  FROM cells{t}_{d} WINDOW w AS (PARTITION BY node, feature ORDER BY bin ROWS UNBOUNDED PRECEDING), a AS (PARTITION BY node, feature))""",
+                f"""best{t}_{d} AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, feature, bin) AS place
+  FROM (SELECT *, (gl * gl / (hl + 1) + gr * gr / (hr + 1) - ga * ga / (ha + 1)) / 2 AS gain FROM sums{t}_{d}
+        WHERE bin IS NOT NULL AND hl >= 1 AND hr >= 1)) WHERE place = 1 AND gain > 1e-9)""",
+                f"""n{t}_{d + 1} AS MATERIALIZED (SELECT rid, CASE WHEN s.node IS NULL THEN r.node
+    ELSE 2 * r.node + CASE WHEN bins[s.feature + 1] >= s.bin THEN 1 ELSE 0 END END AS node
+  FROM n{t}_{d} r JOIN b USING (rid) LEFT JOIN best{t}_{d} s ON s.node = r.node)""",
+            ]
+        steps.append(
+            f"""m{t + 1} AS (SELECT rid, margin + value AS margin FROM m{t} JOIN n{t}_{depth} USING (rid) JOIN (
+  SELECT node, -{rate} * (sum(g) / cast({UNIT} AS double)) / (sum(h) / cast({UNIT} AS double) + 1) AS value
+  FROM n{t}_{depth} JOIN g{t} USING (rid) GROUP BY 1) USING (node))"""
+        )
+    found = " UNION ALL ".join(
+        f"SELECT {t} AS tree, node, {names}[feature + 1] AS feature, cuts[feature + 1][bin] AS cut, round(gain, 6) AS gain, cast(n AS bigint) AS n FROM best{t}_{d}, cut_of"
+        for t in range(trees)
+        for d in range(depth)
+    )
+    return f"{DATASET},\n" + ",\n".join(steps) + f"\n{found}"
+
+
 def _uniform(key: str) -> str:
     digest = f"md5(concat(cast({key} AS varchar), ':42'))"
     return f"(cast(cast('0x' || substr({digest}, 1, 13) AS bigint) AS double) / 4503599627370496.0)"
@@ -316,6 +369,53 @@ SELECT cast(sum(pos * (2 * below + neg)) AS double)
          / (cast(2 AS double) * cast(sum(pos) AS double) * cast(sum(neg) AS double)) AS auc,
        cast(sum(pos) AS bigint) AS n_positive, cast(sum(neg) AS bigint) AS n_negative,
        cast(0 AS bigint) AS n_unscored FROM b""",
+    "account_states": f"""WITH {EVENTS}, {EVENT_TX}
+SELECT from_account AS From_Account, count(*) AS n, count(amt) AS paid, cast(sum(amt) AS double) AS total,
+       cast(max(amt) AS double) AS high, cast(min(amt) AS double) AS low,
+       concat_ws('|', {", ".join(f"count(*) FILTER (WHERE h = {k})" for k in range(24))}) AS hours,
+       coalesce(string_agg(DISTINCT cur, '|' ORDER BY cur), '') AS currencies,
+       coalesce(string_agg(DISTINCT fmt, '|' ORDER BY fmt), '') AS formats
+FROM t GROUP BY 1""",
+    "merged_state_features": f"WITH {EVENTS}, {EVENT_TX}, {_features('t', stddev=True)} SELECT * FROM f",
+    "sketch_estimates": f"""WITH {ORDERS}
+SELECT cur AS Payment_Currency, count(*) AS n_sketched, count(DISTINCT transaction_id) AS exact_transaction_id,
+       count(DISTINCT from_account) AS "exact_From_Account", 1 AS transaction_id_near, 1 AS "From_Account_near",
+       CASE WHEN count(DISTINCT transaction_id) <= 4096 THEN count(DISTINCT transaction_id) END AS transaction_id_kept,
+       CASE WHEN count(DISTINCT from_account) <= 4096 THEN count(DISTINCT from_account) END AS "From_Account_kept",
+       1 AS q25_near, 1 AS q50_near, 1 AS q90_near
+FROM o GROUP BY 1""",
+    "booster_splits": _booster(trees=2),
+    "booster_gain": f"""WITH found AS ({_booster(trees=2)})
+SELECT feature, round(avg(gain), 4) AS gain, count(*) AS splits, cast(sum(n) AS bigint) AS n_rows,
+       (SELECT count(*) FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY gain DESC, node) AS place FROM found) b
+        WHERE place = 1 AND b.feature = found.feature) AS n_best
+FROM found GROUP BY feature""",
+    "balanced_weights": f"""{DATASET},
+v AS (SELECT IsLaundering AS label, {", ".join(f"cast({c} AS double) AS {c}" for c in BOOSTED if c != "StdDevAmount")},
+             count(*) OVER () / cast(2 AS double) / count(*) OVER (PARTITION BY IsLaundering) AS w FROM ml),
+mean AS (SELECT avg(w) AS m FROM v),
+long AS (SELECT label, w, unnest([{", ".join(c for c in BOOSTED if c != "StdDevAmount")}]) AS x,
+                unnest(range({len(BOOSTED) - 1})) AS f FROM v),
+cuts AS (SELECT f, unnest(list_distinct(quantile_disc(x, [{", ".join(str(k / BINS) for k in range(1, BINS))}]))) AS cut FROM long GROUP BY f),
+grad AS (SELECT f, x, cast(round((0.5 - label) * (w / m) * {UNIT}) AS bigint) AS g, cast(round(0.25 * (w / m) * {UNIT}) AS bigint) AS h FROM long, mean),
+sides AS (SELECT c.f, c.cut, sum(g) FILTER (WHERE x < cut) / cast({UNIT} AS double) AS gl, sum(h) FILTER (WHERE x < cut) / cast({UNIT} AS double) AS hl,
+                 sum(g) FILTER (WHERE x >= cut) / cast({UNIT} AS double) AS gr, sum(h) FILTER (WHERE x >= cut) / cast({UNIT} AS double) AS hr
+          FROM cuts c JOIN grad USING (f) GROUP BY ALL),
+best AS (SELECT f, cut FROM sides WHERE hl >= 1 AND hr >= 1 ORDER BY round(gl * gl / (hl + 1) + gr * gr / (hr + 1), 9) DESC, f, cut LIMIT 1)
+SELECT IsLaundering AS label, count(*) AS n_rows, count(*) AS n_accounts, round((SELECT count(*) FROM ml) / 2, 6) AS weight,
+       any_value([{", ".join(f"'{c}'" for c in BOOSTED if c != "StdDevAmount")}][best.f + 1]) AS feature, any_value(best.cut) AS cut
+FROM ml, best GROUP BY 1""",
+    "label_index": f"""WITH {ORDERS},
+known AS (SELECT fmt, row_number() OVER (ORDER BY fmt) - 1 AS k FROM (SELECT DISTINCT fmt FROM o WHERE cur = 'F' AND fmt <> '3-MEDIUM'))
+SELECT fmt AS Payment_Format, cast(coalesce(k, (SELECT count(*) FROM known)) AS integer) AS label, count(*) AS n_rows,
+       CASE WHEN k IS NULL THEN count(*) ELSE 0 END AS n_unseen
+FROM o LEFT JOIN known USING (fmt) GROUP BY fmt, k""",
+    "pipeline_batch_score": f"""WITH {ORDERS}
+SELECT transaction_id, 5 AS TxnCount, cast(amt AS double) AS TotalAmount, cast(5000 AS double) AS AvgAmount,
+       CASE WHEN transaction_id % 5 > 0 THEN cast(amt AS double) END AS MaxAmount, cast(100 AS double) AS MinAmount, 2 AS NumCurrencies,
+       2 AS NumFormats, 14 AS HourBucket, CASE WHEN transaction_id % 5 > 0 THEN 1 ELSE 0 END AS Imputed,
+       CASE WHEN transaction_id % 5 > 0 THEN 1 ELSE 0 END AS is_scored, 1 AS unchanged
+FROM o""",
     "gbt_train_score": f"""{DATASET}
 SELECT From_Account, IsLaundering, 1 AS is_probability, 1 AS prediction_follows
 FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
@@ -323,7 +423,7 @@ FROM ml WHERE {_uniform("From_Account")} >= cast(0.8 AS double)""",
 SELECT unnest(['gbt_50', 'boosted_100_depth6', 'boosted_100_depth5']) AS model,
        count(*) FILTER (WHERE {_uniform("From_Account")} < cast(0.8 AS double)) AS n_train,
        count(*) FILTER (WHERE {_uniform("From_Account")} >= cast(0.8 AS double)) AS n_test,
-       cast(0 AS bigint) AS n_dropped, 1 AS beats_chance FROM ml""",
+       cast(0 AS bigint) AS n_dropped, 1 AS auc_agrees, 1 AS beats_chance FROM ml""",
     "feature_gain": "SELECT unnest(["
     + ", ".join(f"'{c}'" for c in BOOSTED if c != "StdDevAmount")
     + "]) AS feature, 1 AS gain_is_positive",
@@ -356,6 +456,6 @@ SELECT acc AS "From_Account", HourBucket, coalesce(top, 0) AS IsLaundering FROM
 SELECT date_trunc('day', ts)::timestamp AS window_start, (date_trunc('day', ts) + INTERVAL 1 DAY)::timestamp AS window_end,
        from_account AS From_Account, count(*) AS TxnCount, cast(sum(amt) AS double) AS TotalAmount,
        cast(max(amt) AS double) AS MaxAmount, cast(min(amt) AS double) AS MinAmount,
-       cast(quantile_disc(hour(ts), 0.5) AS integer) AS HourBucket, 1 AS approx_is_near
+       cast(quantile_disc(hour(ts), 0.5) AS integer) AS HourBucket, count(DISTINCT props) AS "ApproxCurrencies"
 FROM e GROUP BY 1, 2, 3""",
 }

@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.functions.columns import wall_clock
-from riskflow.operators import labels, metrics, models, patterns, profiling, sampling, scoring
+from riskflow.operators import boosting, labels, metrics, models, patterns, profiling, sampling, scoring, sketches, state
 from riskflow.operators.clean import clean_transactions as clean
 from riskflow.operators.clean import reject_counts as reject_counts_of
 from riskflow.operators.features import account_features as features_of
 from riskflow.operators.features import account_totals, typical_hours
 from riskflow.operators.features import distinct_counts as distinct_counts_of
-from riskflow.plans.jobs import compare_models as compare_boosters
-from riskflow.plans.jobs import labelled_features
+from riskflow.plans.jobs import ALL_BOOSTERS, labelled_features
 from riskflow.sources import adapters
 from riskflow.sources.readers import (
     read_csv,
@@ -133,6 +132,72 @@ def features_with_bank_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def account_states(spark: SparkSession, sf: str) -> DataFrame:
+    """What is stored of each account, arrays as text."""
+    rows = state.account_state(_transfers(spark, sf))
+    text = [F.array_join(F.col(c).cast("array<string>"), "|").alias(c) for c in ("hours", "currencies", "formats")]
+    amounts = [F.col(c).cast("double").alias(c) for c in ("total", "high", "low")]
+    return rows.select("From_Account", "n", "paid", *amounts, *text)
+
+
+def merged_state_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features from stored states of three batches: one was written twice, two were made one later."""
+    transfers = adapters.transfers_from_events(_events(spark, sf), keep=("event_id",))
+    store, newer = scratch_path(spark, "states"), scratch_path(spark, "states")
+    part = F.pmod("event_id", F.lit(3))
+    state.write_batch(state.account_state(transfers.where(part < 2)), store, "day 0")  # replaced by the next line
+    for k in range(2):
+        state.write_batch(state.account_state(transfers.where(part == k)), store, f"day {k}")
+    state.compact(spark, store, ["day 0", "day 1"], "days", newer)
+    merged = state.add_batch(transfers.where(part == 2), newer, "day 2")
+    return state.state_features(merged).withColumn("StdDevAmount", F.round("StdDevAmount", SPREAD_DIGITS))
+
+
+SKETCH_QUANTILES = (0.25, 0.5, 0.9)
+
+
+def sketch_estimates(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly sketches per currency, merged to all months, held against exact counts and ranks.
+
+    Where an exact count is one that a sketch keeps exactly, the estimate itself is returned; else, and for
+    quantiles, whether it lies within the stated error (three standard errors for counts).
+    """
+    rows = _orders(spark, sf)
+    month = F.date_trunc("month", F.col("Timestamp"))
+    counted = ["transaction_id", "From_Account"]
+    monthly = sketches.sketch(rows, ["Payment_Currency"], counted, "Amount_Paid", month)
+    stored = through_table(monthly, scratch_path(spark, "sketches"))
+    found = sketches.estimates(sketches.merge_sketches(stored, ["Payment_Currency"]), SKETCH_QUANTILES)
+    found = found.withColumnRenamed("n", "n_sketched")
+    both = rows.join(found, "Payment_Currency")
+    amount = F.col("Amount_Paid").cast("double")
+    places = [F.col(f"Amount_Paid_q{q * 100:g}") for q in SKETCH_QUANTILES]
+    exact = both.groupBy("Payment_Currency").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("n_sketched").alias("n_sketched"),
+        *[F.count_distinct(c).alias(f"exact_{c}") for c in counted],
+        *[F.max(f"Num{c}").alias(f"Num{c}") for c in counted],
+        *[F.count_if(amount < p).alias(f"below{k}") for k, p in enumerate(places)],
+        *[F.count_if(amount <= p).alias(f"upto{k}") for k, p in enumerate(places)],
+    )
+
+    def near(c: str):
+        gap = F.abs(F.col(f"Num{c}") - F.col(f"exact_{c}"))
+        return (gap <= 3 * sketches.distinct_error() * F.col(f"exact_{c}")).cast("int").alias(f"{c}_near")
+
+    def kept(c: str):
+        small = F.col(f"exact_{c}") <= 1 << sketches.DISTINCT_BITS
+        return F.when(small, F.col(f"Num{c}")).alias(f"{c}_kept")
+
+    def ranked(k: int, q: float):
+        n = F.col("n")
+        inside = (F.col(f"below{k}") / n <= q + sketches.rank_error()) & (F.col(f"upto{k}") / n >= q - sketches.rank_error())
+        return inside.cast("int").alias(f"q{q * 100:g}_near")
+
+    checks = [f(c) for c in counted for f in (near, kept)] + [ranked(k, q) for k, q in enumerate(SKETCH_QUANTILES)]
+    return exact.select("Payment_Currency", "n_sketched", *[f"exact_{c}" for c in counted], *checks)
+
+
 # Pattern log
 
 
@@ -360,9 +425,29 @@ def gbt_train_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def compare_models(spark: SparkSession, sf: str) -> DataFrame:
-    """Sizes of both parts for each booster, and whether it beats chance on the test part."""
-    compared = compare_boosters(_training_table(spark, sf))
-    return compared.select("model", "n_train", "n_test", "n_dropped", (F.col("auc") > 0.5).cast("int").alias("beats_chance"))
+    """Sizes of both parts for each booster, and whether its AUC is that of the mean rank of the positives, which is above chance."""
+    view = models.numeric_view(_training_table(spark, sf), GBT)
+    boosters = {name: (GBT, models.booster_named(name)) for name in ALL_BOOSTERS}
+    scored, sizes = models.compare_scores(view, boosters)
+    positive = F.col("IsLaundering") == 1
+    counts = scored.groupBy("model", "LaunderingProbability").agg(F.count_if(positive).alias("p"), F.count(F.lit(1)).alias("n"))
+    # Scores are few beside rows, and there is a window for each booster.
+    upto = F.sum("n").over(Window.partitionBy("model").orderBy("LaunderingProbability"))
+    ranked = counts.withColumn("rank", upto - (F.col("n") - 1) / 2)
+    ranks = ranked.groupBy("model").agg(F.sum(F.col("p") * F.col("rank")).alias("ranks"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    p, n = F.col("p"), F.col("n")
+    by_rank = (F.col("ranks") - p * (p + 1) / 2) / (p * (n - p))
+    learned = F.create_map(*[F.lit(x) for name, size in sizes.items() for x in (name, size)])
+    exact = union_sources({name: metrics.auc_exact(scored.where(F.col("model") == name), "IsLaundering", "LaunderingProbability") for name in boosters}, "model")
+    dropped = F.count_if(F.greatest(F.lit(0), *[F.col(f).isNull().cast("int") for f in GBT]) == 1)
+    return exact.join(ranks.select("model", by_rank.alias("by_rank")), "model").select(
+        "model",
+        learned[F.col("model")].cast("bigint").alias("n_train"),
+        (F.col("n_positive") + F.col("n_negative")).alias("n_test"),
+        view.agg(dropped).scalar().alias("n_dropped"),
+        (F.abs(F.col("auc") - F.col("by_rank")) < 1e-9).cast("int").alias("auc_agrees"),
+        (F.col("auc") > 0.5).cast("int").alias("beats_chance"),
+    )
 
 
 def feature_gain(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,17 +459,38 @@ def feature_gain(spark: SparkSession, sf: str) -> DataFrame:
     return listed.select("feature", F.coalesce(F.col("gain") > 0, F.lit(True)).cast("int").alias("gain_is_positive"))
 
 
+def booster_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Every split of the first two trees of the second-order booster: node, feature, cut, gain and number of rows."""
+    view = models.valid_rows(models.numeric_view(_training_table(spark, sf), GBT), GBT)
+    training, _ = sampling.hash_split(view, "From_Account")
+    booster = boosting.Booster(**S.HISTOGRAM_BOOSTERS["boosted_100_depth6"] | {"rounds": 2})
+    found = boosting.splits(spark, boosting.fit(training, GBT, booster)).where("feature IS NOT NULL")
+    return found.select("tree", "node", "feature", "cut", F.round("gain", 6).alias("gain"), "n")
+
+
+def booster_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """Average gain and number of splits of each feature in the first two trees, and the number of times it is the best of its tree."""
+    found = booster_splits(spark, sf)
+    best = F.max_by("feature", F.struct("gain", -F.col("node")))
+    top = found.groupBy("tree").agg(best.alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("n_best"))
+    gains = found.groupBy("feature").agg(F.round(F.avg("gain"), 4).alias("gain"), F.count(F.lit(1)).alias("splits"), F.sum("n").alias("n_rows"))
+    return gains.join(top, "feature", "left").select("feature", "gain", "splits", "n_rows", F.coalesce("n_best", F.lit(0)).alias("n_best"))
+
+
 def _spread_fitted(spark: SparkSession, sf: str):
     dataset = _training_table(spark, sf, stddev=True)
     view = models.valid_rows(models.numeric_view(scoring.fill_spread(dataset), BOOSTED), BOOSTED)
-    return dataset, models.train(view, BOOSTED, S.BOOSTERS["gbt_50"] | {"maxIter": 10})
+    return dataset, models.train(view, BOOSTED, S.BOOSTERS["gbt_50"])
 
 
 def model_batch_score(spark: SparkSession, sf: str) -> DataFrame:
     """A batch of transactions scored by a model on the features of their accounts."""
     dataset, model = _spread_fitted(spark, sf)
     batch = scoring.with_account_features(_orders(spark, sf).select("transaction_id", "From_Account"), dataset)
-    scored = scoring.score_batch_by_model(batch, model)
+    return _model_scored(scoring.score_batch_by_model(batch, model))
+
+
+def _model_scored(scored: DataFrame) -> DataFrame:
     return scored.select(
         "transaction_id",
         "From_Account",
@@ -395,6 +501,53 @@ def model_batch_score(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def pipeline_batch_score(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that lacks features, scored by a saved and loaded pipeline that brings its defaults; and as before it was saved."""
+    view = models.valid_rows(models.numeric_view(_training_table(spark, sf), GBT), GBT)
+    fitted = scoring.with_defaults(models.train(view, GBT, S.BOOSTERS["gbt_50"]))
+    path = scratch_path(spark, "pipeline")
+    models.save_model(fitted, path)
+    rows = _batch(_orders(spark, sf))
+    rows = rows.withColumn("MaxAmount", F.when(F.col("transaction_id") % 5 > 0, F.col("MaxAmount")))
+
+    def scored(model) -> DataFrame:
+        return scoring.score_batch_by_model(rows, model)
+
+    fresh = scored(fitted).select("transaction_id", F.col("LaunderingProbability").alias("fresh"))
+    loaded = scored(models.load_model(path)).join(fresh, "transaction_id")
+    score = F.col("LaunderingProbability")
+    return loaded.select(
+        "transaction_id",
+        *GBT,
+        "Imputed",
+        score.isNotNull().cast("int").alias("is_scored"),
+        score.eqNullSafe(F.col("fresh")).cast("int").alias("unchanged"),
+    )
+
+
+def label_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Priorities as labels, indexed by the orders of one status; what the others have besides falls into one bucket more."""
+    rows = _orders(spark, sf)
+    known = rows.where("Payment_Currency = 'F' AND Payment_Format <> '3-MEDIUM'")
+    index = labels.label_index(known, "Payment_Format")
+    found = labels.with_label_index(rows, "Payment_Format", index)
+    unseen = labels.unseen_labels(rows, "Payment_Format", index).withColumnsRenamed({"label": "Payment_Format", "n_rows": "n_unseen"})
+    counts = found.groupBy("Payment_Format", F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.join(unseen, "Payment_Format", "left").withColumn("n_unseen", F.coalesce("n_unseen", F.lit(0)))
+
+
+def balanced_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, accounts and sum of weights of each class, and the splits of a first tree grown with them."""
+    view = models.valid_rows(models.numeric_view(_training_table(spark, sf), GBT), GBT)
+    weighted = sampling.class_weights(view, "label")
+    booster = boosting.Booster(rounds=1, depth=1)
+    tree = boosting.splits(spark, boosting.fit(weighted, GBT, booster, "weight")).where("node = 1")
+    sums = weighted.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("From_Account").alias("n_accounts"), F.round(F.sum("weight"), 6).alias("weight")
+    )
+    return sums.withColumns({c: tree.select(c).scalar() for c in ("feature", "cut")})
+
+
 def balanced_split(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and accounts of each class in both parts, and accounts that are in both."""
     training, testing = sampling.balanced_split(_dataset(spark, sf), "IsLaundering", "From_Account")
@@ -480,15 +633,10 @@ def stream_rule_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
-    """All windows, those the stream closes and the last ones; the approximate count is held against the exact one."""
+    """All windows, those the stream closes and the last ones."""
     windows = account_windows(adapters.transfers_from_events(_stream(spark, sf, "events")))
     closed = drain(windows, scratch_path(spark, "windows"), scratch_path(spark, "progress"))
-    transfers = _transfers(spark, sf)
-    every = closed.unionByName(last_windows(transfers, closed))
-    day = F.date_trunc("day", F.col("Timestamp")).cast("timestamp_ntz")
-    exact = transfers.groupBy("From_Account", day.alias("window_start")).agg(F.count_distinct("Payment_Currency").alias("exact"))
-    near = F.abs(F.col("ApproxCurrencies") - F.col("exact")) <= 2 + 0.15 * F.col("exact")
-    return every.join(exact, ["From_Account", "window_start"]).withColumn("approx_is_near", near.cast("int")).drop("ApproxCurrencies", "exact")
+    return closed.unionByName(last_windows(_transfers(spark, sf), closed))
 
 
 QUERIES: dict[str, Query] = {
@@ -502,6 +650,9 @@ QUERIES: dict[str, Query] = {
         hour_bucket,
         distinct_counts,
         total_count_avg,
+        account_states,
+        merged_state_features,
+        sketch_estimates,
         labels_max,
         features_with_labels,
         features_with_bank_labels,
@@ -544,6 +695,11 @@ QUERIES: dict[str, Query] = {
         gbt_train_score,
         compare_models,
         feature_gain,
+        booster_splits,
+        booster_gain,
+        balanced_weights,
+        label_index,
+        pipeline_batch_score,
         model_roundtrip,
         model_batch_score,
         balanced_split,

@@ -102,6 +102,23 @@ FEATURES = T.StructType(
         T.StructField("HourBucket", T.IntegerType()),
     ]
 )
+# What is kept of an account so that features of more transactions can be made without reading these again.
+ACCOUNT_STATE = T.StructType(
+    [
+        T.StructField("From_Account", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("paid", T.LongType()),
+        T.StructField("total", T.DecimalType(38, 8)),
+        T.StructField("high", AMOUNT),
+        T.StructField("low", AMOUNT),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("squares", T.DoubleType()),
+        T.StructField("hours", T.ArrayType(T.LongType())),
+        T.StructField("currencies", T.ArrayType(T.StringType())),
+        T.StructField("formats", T.ArrayType(T.StringType())),
+    ]
+)
+
 ML_DATASET = T.StructType([*FEATURES, T.StructField("IsLaundering", T.IntegerType())])
 
 # Rule score: probability range by amount paid, highest band first; the last band has no floor.
@@ -117,7 +134,10 @@ VERDICTS = {1: "Likely Laundering", 0: "Not Laundering"}
 # Rounds, depth and learning rate of the boosted-tree models that are compared.
 BOOSTERS = {
     "gbt_50": {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1},
-    "boosted_100_depth6": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1},
-    "boosted_100_depth5": {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1},
+}
+# The same for the second-order booster, whose other parameters are its usual defaults.
+HISTOGRAM_BOOSTERS = {
+    "boosted_100_depth6": {"rounds": 100, "depth": 6, "rate": 0.1},
+    "boosted_100_depth5": {"rounds": 100, "depth": 5, "rate": 0.1},
 }
 SEED = 42

@@ -38,9 +38,10 @@ def _transfer_columns() -> dict[str, Column]:
     }
 
 
-def transfers_from_events(events: DataFrame) -> DataFrame:
-    """Clean transactions; the payer is the user, the payee the next user."""
+def transfers_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Clean transactions; the payer is the user, the payee the next user. `keep` names further columns."""
     return events.select(
+        *keep,
         *[c.alias(name) for name, c in _transfer_columns().items()],
         F.col("ts").alias("Timestamp"),
         F.hour("ts").alias("Hour"),
