@@ -105,8 +105,8 @@ def merge_states(states: DataFrame) -> DataFrame:
 
 def state_features(state: DataFrame, stddev: bool = True) -> DataFrame:
     """The feature rows that `account_features` makes of the same transactions."""
-    n, total = F.col("n"), F.col("total").cast("double")
-    spread = F.when(n > 1, F.when(F.col("high") == F.col("low"), F.lit(0.0)).otherwise(F.sqrt(F.col("squares") / (n - 1))))
+    n, paid, total = F.col("n"), F.col("paid"), F.col("total").cast("double")
+    spread = F.when(paid > 1, F.when(F.col("high") == F.col("low"), F.lit(0.0)).otherwise(F.sqrt(F.col("squares") / (paid - 1))))
     return state.select(
         ACCOUNT,
         n.alias("TxnCount"),
