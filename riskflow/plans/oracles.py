@@ -384,6 +384,16 @@ SELECT cur AS Payment_Currency, count(*) AS n_sketched, count(DISTINCT transacti
        CASE WHEN count(DISTINCT from_account) <= 4096 THEN count(DISTINCT from_account) END AS "From_Account_kept",
        1 AS q25_near, 1 AS q50_near, 1 AS q90_near
 FROM o GROUP BY 1""",
+    "trailing_counts": f"""WITH {ORDERS}
+SELECT transaction_id, from_account AS From_Account, count(*) OVER w AS TrailingCount, cast(sum(amt) OVER w AS double) AS TrailingAmount
+FROM o WINDOW w AS (PARTITION BY from_account ORDER BY ts RANGE BETWEEN INTERVAL 7775999999999 MICROSECONDS PRECEDING AND CURRENT ROW)""",
+    "bucketed_features_with_labels": LABELLED,
+    "corrupt_counts": f"""WITH {EVENTS}, {RAW},
+k AS (SELECT *, CASE WHEN fmt = 'signup' THEN 'short' WHEN fmt = 'error' THEN 'long' WHEN fmt = 'view' AND received > 150 THEN 'quote' END AS kind FROM r)
+SELECT 'line: ' || kind AS reason, count(*) AS n_rows FROM k WHERE kind IS NOT NULL GROUP BY 1
+UNION ALL SELECT 'malformed line', count(*) FROM k WHERE kind IS NOT NULL
+-- What follows a line end in quotes has all fields but a whole time, and is a row.
+UNION ALL SELECT 'no amount', count(*) FROM k WHERE (kind IS NULL OR kind = 'quote') AND paid IS NULL""",
     "booster_splits": _booster(trees=2),
     "booster_gain": f"""WITH found AS ({_booster(trees=2)})
 SELECT feature, round(avg(gain), 4) AS gain, count(*) AS splits, cast(sum(n) AS bigint) AS n_rows,
@@ -459,3 +469,5 @@ SELECT date_trunc('day', ts)::timestamp AS window_start, (date_trunc('day', ts)
        cast(quantile_disc(hour(ts), 0.5) AS integer) AS HourBucket, count(DISTINCT props) AS "ApproxCurrencies"
 FROM e GROUP BY 1, 2, 3""",
 }
+ORACLES["raw_csv_any_order"] = ORACLES["raw_csv_features"]
+ORACLES["stream_model_score"] = ORACLES["model_batch_score"]

@@ -1,5 +1,6 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame over the whole tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskflow import schemas as S
 from riskflow.functions.columns import wall_clock
-from riskflow.operators import boosting, labels, metrics, models, patterns, profiling, sampling, scoring, sketches, state
+from riskflow.operators import boosting, labels, metrics, models, patterns, profiling, sampling, scoring, sketches, state, trailing
 from riskflow.operators.clean import clean_transactions as clean
 from riskflow.operators.clean import reject_counts as reject_counts_of
 from riskflow.operators.features import account_features as features_of
@@ -16,6 +17,7 @@ from riskflow.operators.features import distinct_counts as distinct_counts_of
 from riskflow.plans.jobs import ALL_BOOSTERS, labelled_features
 from riskflow.sources import adapters
 from riskflow.sources.readers import (
+    malformed_counts,
     read_csv,
     read_label_rows,
     read_pattern_lines,
@@ -24,14 +26,15 @@ from riskflow.sources.readers import (
     union_sources,
 )
 from riskflow.sources.scratch import scratch_path
-from riskflow.sources.sinks import through_table, write_csv, write_lines
-from riskflow.streaming.jobs import account_windows, drain, last_windows, score_stream
+from riskflow.sources.sinks import bucketed_table, through_table, write_csv, write_lines
+from riskflow.streaming.jobs import account_windows, drain, last_windows, score_stream, score_stream_by_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 GBT = S.FEATURE_LISTS["gbt"]
 BOOSTED = S.FEATURE_LISTS["boosted"]
 #: Queries round the spread, whose last digits depend on the order of additions.
 SPREAD_DIGITS = 2
+FEATURE_BUCKETS = 8
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,6 +156,24 @@ def merged_state_features(spark: SparkSession, sf: str) -> DataFrame:
     return state.state_features(merged).withColumn("StdDevAmount", F.round("StdDevAmount", SPREAD_DIGITS))
 
 
+def trailing_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order with the number and amount of its customer's orders of the 90 days up to it."""
+    found = trailing.trailing_counts(_orders(spark, sf), "90 day")
+    return found.select("transaction_id", "From_Account", "TrailingCount", F.col("TrailingAmount").cast("double").alias("TrailingAmount"))
+
+
+def bucketed_features_with_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Features and labels as tables dealt by account; their join shuffles nothing."""
+    events = _events(spark, sf)
+    features = features_of(adapters.transfers_from_events(events))
+    found = labels.account_labels(adapters.label_rows_from_events(events))
+    tables = [
+        bucketed_table(rows, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), "From_Account", FEATURE_BUCKETS)
+        for name, rows in (("features", features), ("labels", found))
+    ]
+    return labels.features_with_labels(*tables)
+
+
 SKETCH_QUANTILES = (0.25, 0.5, 0.9)
 
 
@@ -598,6 +619,40 @@ def raw_csv_features(spark: SparkSession, sf: str) -> DataFrame:
     return features_of(clean(read_raw_transactions(spark, _raw_file(spark, sf))))
 
 
+def raw_csv_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files in two folders, one with its columns turned round; both are read by their headers."""
+    path, turned = _raw_file(spark, sf), scratch_path(spark, "turned")
+    rows = read_csv(spark, path, S.RAW_TRANSACTIONS)
+    half = F.pmod(F.xxhash64("From_Account", "Timestamp_str"), F.lit(2))
+    straight = scratch_path(spark, "straight")
+    write_csv(rows.where(half == 0), straight)
+    write_csv(rows.where(half == 1).select(*reversed(rows.columns)), turned)
+    return features_of(clean(read_raw_transactions(spark, [straight, turned])))
+
+
+def _spoilt_file(spark: SparkSession, sf: str) -> str:
+    """Raw transfers as text: signups lack their last fields, errors have one more, large views have a line end in quotes."""
+    path = scratch_path(spark, "spoilt")
+    names = [f.name for f in S.RAW_TRANSACTIONS]
+    rows = _raw(spark, sf).select("event_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in names])
+    kind = F.col("Payment_Format")
+    line = F.when(kind == "signup", F.concat_ws(",", *names[:8])).when(kind == "error", F.concat_ws(",", *names, F.lit("more")))
+    broken = F.concat(F.lit('"one\ntwo"'), F.lit(","), F.concat_ws(",", *names[1:]))
+    line = line.when((kind == "view") & (F.col("Amount_Received").cast("double") > 150), broken).otherwise(F.concat_ws(",", *names))
+    lines = rows.select((F.col("event_id") % 4).alias("part"), F.col("event_id").alias("place"), line.alias("value"))
+    headers = spark.range(4).select(F.col("id").alias("part"), F.lit(-1).cast("bigint").alias("place"), F.lit(",".join(names)).alias("value"))
+    ordered = lines.unionByName(headers).repartition("part").sortWithinPartitions("part", "place")
+    ordered.select("part", "value").write.partitionBy("part").text(path)
+    return path
+
+
+def corrupt_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of a wrong length by kind, and the reasons for which rows are rejected."""
+    raw = read_raw_transactions(spark, _spoilt_file(spark, sf), corrupt=True)
+    kinds = malformed_counts(raw).select(F.concat(F.lit("line: "), "kind").alias("reason"), "n_rows")
+    return kinds.unionByName(reject_counts_of(raw))
+
+
 def reject_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reject_counts_of(read_raw_transactions(spark, _raw_file(spark, sf)))
 
@@ -632,6 +687,16 @@ def stream_rule_score(spark: SparkSession, sf: str) -> DataFrame:
     return drain(scored, scratch_path(spark, "scores"), scratch_path(spark, "progress"))
 
 
+def stream_model_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Arriving orders scored by a model on the features of their accounts; the query is run again, as after a restart."""
+    dataset, model = _spread_fitted(spark, sf)
+    progress, out = scratch_path(spark, "progress"), scratch_path(spark, "scores")
+    for _ in range(2):
+        arriving = adapters.transfers_from_orders(_stream(spark, sf, "orders")).select("transaction_id", "From_Account")
+        scored = drain(score_stream_by_model(arriving, model, dataset), out, progress)
+    return _model_scored(scored)
+
+
 def stream_window_features(spark: SparkSession, sf: str) -> DataFrame:
     """All windows, those the stream closes and the last ones."""
     windows = account_windows(adapters.transfers_from_events(_stream(spark, sf, "events")))
@@ -650,6 +715,8 @@ QUERIES: dict[str, Query] = {
         hour_bucket,
         distinct_counts,
         total_count_avg,
+        trailing_counts,
+        bucketed_features_with_labels,
         account_states,
         merged_state_features,
         sketch_estimates,
@@ -705,10 +772,13 @@ QUERIES: dict[str, Query] = {
         balanced_split,
         csv_roundtrip,
         raw_csv_features,
+        raw_csv_any_order,
+        corrupt_counts,
         reject_counts,
         label_csv_join,
         batch_csv_score,
         stream_rule_score,
+        stream_model_score,
         stream_window_features,
     )
 } | {"union_sources": union_sources_query}

@@ -28,6 +28,26 @@ RAW_TRANSACTIONS = T.StructType(
     ]
 )
 
+# Names that raw files give these fields, in small letters with _ for everything else. "account" depends on its place.
+RAW_NAMES = {
+    "timestamp": "Timestamp_str",
+    "timestamp_str": "Timestamp_str",
+    "from_bank": "From_Bank",
+    "from_account": "From_Account",
+    "account2": "From_Account",
+    "to_bank": "To_Bank",
+    "to_account": "To_Account",
+    "account4": "To_Account",
+    "amount_received": "Amount_Received",
+    "receiving_currency": "Receiving_Currency",
+    "amount_paid": "Amount_Paid",
+    "payment_currency": "Payment_Currency",
+    "payment_format": "Payment_Format",
+    "is_laundering": "Is_Laundering",
+}
+# Column with the text of a line that has too few or too many fields.
+CORRUPT = "_corrupt"
+
 TRANSACTION_COLUMNS = [f.name for f in RAW_TRANSACTIONS if f.name != "Timestamp_str"]
 
 # Comma-separated fields of a data line in a pattern log.

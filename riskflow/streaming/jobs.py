@@ -1,10 +1,11 @@
 """Stream forms of scoring and account features."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.columns import hours_up_to, median_hour, utc_instant, utc_wall_clock
-from riskflow.operators.scoring import score_batch_by_rule
+from riskflow.operators.scoring import score_batch_by_model, score_batch_by_rule, with_account_features
 
 CURRENCY_BITS = 8
 
@@ -14,6 +15,19 @@ def score_stream(stream: DataFrame, amount: str, key: str) -> DataFrame:
     return score_batch_by_rule(stream, amount, key)
 
 
+def score_stream_by_model(
+    stream: DataFrame, model: PipelineModel, features: DataFrame | None = None, fill_nulls: bool | None = None
+) -> DataFrame:
+    """Arriving rows scored by a model, with the features of their accounts from a table where they lack a column.
+
+    The join is one of a stream with a table: no state. The table is read anew for each batch, so features that another job writes
+    between two batches count from then on. Written by `drain` or any file sink, each batch is written once, also when
+    a restarted query repeats it, as the sink logs its files by batch.
+    """
+    rows = stream if features is None else with_account_features(stream, features)
+    return score_batch_by_model(rows, model, fill_nulls=fill_nulls)
+
+
 def account_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Features per account and tumbling window of `Timestamp`.
 

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from riskflow.functions.columns import wall_clock
 from riskflow.operators.clean import clean_transactions, reject_counts
+from riskflow.schemas import RAW_TRANSACTIONS
 from riskflow.sources.readers import (
+    files_by_header,
+    malformed_counts,
+    raw_positions,
     read_csv,
     read_label_rows,
     read_raw_transactions,
@@ -110,3 +114,69 @@ def test_both_forms_of_label_files(spark, tmp_path):
     (tmp_path / "short.csv").write_text("Timestamp,From_Bank,Pattern_Type,isLaundering\nt,01,CYCLE,1\n")
     assert rows(read_label_rows(spark, str(tmp_path / "long.csv"))) == [("t", "01", "acc", "CYCLE", 1)]
     assert rows(read_label_rows(spark, str(tmp_path / "short.csv"))) == [("t", "01", None, "CYCLE", 1)]
+
+
+def test_raw_files_are_read_by_their_headers(spark, tmp_path):
+    names = HEADER.split(",")
+    fields = ["2022/09/01 00:20", "010", "A1", "020", "B1", "100.00", "Dollar", "99.00", "Euro", "Wire", "0"]
+    order = [9, 3, 4, 10, 1, 2, 8, 7, 6, 5, 0]  # both banks keep their account beside them
+    for name, places in (("straight", range(11)), ("turned", order)):
+        (tmp_path / f"{name}.csv").write_text(",".join(names[k] for k in places) + "\n" + ",".join(fields[k] for k in places) + "\n")
+    expected = rows(read_raw_transactions(spark, str(tmp_path / "straight.csv")))
+    assert rows(read_raw_transactions(spark, str(tmp_path / "turned.csv"))) == expected
+    assert rows(read_raw_transactions(spark, [str(tmp_path / f"{n}.csv") for n in ("straight", "turned")])) == expected * 2
+    (tmp_path / "empty.csv").write_text("")
+    assert rows(read_raw_transactions(spark, str(tmp_path / "*.csv"))) == expected * 2
+
+
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        (lambda h: h.replace("Amount Paid,Payment Currency", "Payment Currency,Paid"), "Amount_Paid"),
+        (lambda h: h.replace("Amount Received", "Amount Paid"), "two columns for Amount_Paid"),
+        (lambda h: ",".join(h.split(",")[:7]), "Amount_Paid, Payment_Currency"),
+    ],
+)
+def test_headers_that_cannot_be_read(spark, tmp_path, change, message):
+    (tmp_path / "t.csv").write_text(change(HEADER) + "\n" + ",".join("x" * 11) + "\n")
+    with pytest.raises(ValueError, match=message):
+        read_raw_transactions(spark, str(tmp_path / "t.csv"))
+
+
+def test_header_names():
+    assert raw_positions(("TIMESTAMP", "from_bank", "Account2", "To Bank", "Account4", "u", "v", "w", "x", "y", "z")) == {
+        f: k for k, f in enumerate(RAW_TRANSACTIONS.names)
+    }
+    assert raw_positions(("To Bank", "Account", "From Bank", "Account", *HEADER.split(",")[5:], "Timestamp"))["To_Account"] == 1
+
+
+def test_no_files(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="no file with a header"):
+        read_raw_transactions(spark, str(tmp_path / "empty.csv"))
+
+
+def test_lines_of_a_wrong_length_are_counted(spark, tmp_path):
+    good = "2022/09/01 00:20,010,A{},020,B1,1,Dollar,5,Dollar,Wire,0"
+    lines = [HEADER, good.format(1), "2022/09/01 00:20,010,A2", good.format(3) + ",more,fields", good.format(4).replace("Wire", '"Wi\nre"'), good.format(5)]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    raw = read_raw_transactions(spark, str(tmp_path / "t.csv"), corrupt=True)
+    assert dict(rows(malformed_counts(raw))) == {"short": 1, "long": 1, "quote": 2}
+    assert dict(rows(reject_counts(raw))) == {"malformed line": 4}
+    assert {r.From_Account for r in clean_transactions(raw).collect()} == {"A1", "A5"}
+    # Counted, too, when a query reads one column only.
+    assert raw.where("_corrupt IS NOT NULL").count() == 4
+    (tmp_path / "batch.csv").write_text("From_Account,TxnCount\nx,1\ny\nz,2,3\n")
+    batch = read_scoring_batch(spark, str(tmp_path / "batch.csv"), corrupt=True)
+    assert dict(rows(malformed_counts(batch))) == {"short": 1, "long": 1}
+    (tmp_path / "twice.csv").write_text("From_Account,a,a\nx,1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_scoring_batch(spark, str(tmp_path / "twice.csv"))
+
+
+def test_headers_are_read_without_the_text(spark, tmp_path):
+    """The task for a file's header stops after its first batch of rows."""
+    (tmp_path / "t.csv").write_text(HEADER + "\n" + "x,y\n" * 200_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert list(files_by_header(spark, str(tmp_path / "t.csv"))) == [tuple(HEADER.split(","))]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
