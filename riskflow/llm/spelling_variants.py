@@ -9,6 +9,7 @@ frontier is a table of states (word, position, node, edits). In each round it is
   inserted or a deleted letter where the two part;
 - a state with its edit goes on where the label is what comes next in its word.
 
+A step is taken only to a child that has an edge for the word's next letter, or ends where the word does.
 A state whose word and node both end, with one edit, is a pair of neighbours. Rounds go on until no state is left, so their number is
 that of branches on a path, not the length of a word.
 
@@ -82,7 +83,8 @@ def _paths(spelled: DataFrame) -> DataFrame:
 
 
 def _edges(ways: DataFrame) -> DataFrame:
-    """node, label, child, ends (a word ends at the child), least and most (size of words below) for each edge."""
+    """node, label, child, ends (a word ends at the child), least and most (size of words below), follow (letters that
+    go on from the child) for each edge."""
     steps = F.arrays_zip(F.slice("nodes", F.lit(1), F.size("nodes") - 1).alias("up"), F.slice("nodes", F.lit(2), F.size("nodes") - 1).alias("down"))
     rows = ways.select("trie", "spelled", "size", F.explode(steps).alias("_s")).select("trie", "spelled", "size", "_s.*")
     label = F.substring(F.col("spelled"), F.col("up") + 1, F.col("down") - F.col("up"))
@@ -93,7 +95,10 @@ def _edges(ways: DataFrame) -> DataFrame:
         (F.col("down") == F.col("size")).alias("ends"),
         "size",
     )
-    return rows.groupBy("node", "label", "child").agg(F.max("ends").alias("ends"), F.min("size").alias("least"), F.max("size").alias("most"))
+    rows = rows.groupBy("node", "label", "child").agg(F.max("ends").alias("ends"), F.min("size").alias("least"), F.max("size").alias("most"))
+    rows = materialize(rows, "steps")
+    letters = rows.groupBy(F.col("node").alias("child")).agg(F.array_join(F.sort_array(F.collect_set(F.left("label", F.lit(1)))), "").alias("follow"))
+    return rows.join(letters, "child", "left").withColumn("follow", F.coalesce("follow", F.lit("")))
 
 
 def _advance(frontier: DataFrame, edges: DataFrame) -> DataFrame:
@@ -105,22 +110,31 @@ def _advance(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     state = lambda ok, move, edits: F.struct(ok.alias("ok"), (at + move).alias("at"), F.lit(edits).alias("edits"))
     size = F.col("size")
 
-    def fits(shift: int) -> Column:
-        return F.col("least").__le__(size + shift) & F.col("most").__ge__(size + shift)
+    def goes_to(goal: Column) -> Column:
+        return (F.col("least") <= goal) & (F.col("most") >= goal)
+
+    def alive(move: Column) -> Column:
+        """Whether the child has an edge for the word's next letter, or ends where the word does."""
+        letter = piece(move, F.lit(1))
+        return F.when(letter == "", F.col("ends") & (at + move == size)).otherwise(F.instr(F.col("follow"), letter) > 0)
 
     fresh, same_letter = F.col("edits") == 0, F.left("label", F.lit(1)) == piece(0, F.lit(1))
     goes_on = piece(0, long) == label
     parts = fresh & ~same_letter & (at >= F.col("half"))
-    options = F.array(
-        state(goes_on & fresh, long, 0),
-        # How far a state with an edit is from its node's depth says how long its neighbour is.
-        state(goes_on & ~fresh & (F.col("least") <= F.col("goal")) & (F.col("most") >= F.col("goal")), long, 1),
-        state(parts & (piece(1, long - 1) == tail) & (at + long <= size) & fits(0), long, 1),
-        state(parts & (piece(0, long - 1) == tail) & fits(1), long - 1, 1),
-        state(parts & (piece(1, long) == label) & fits(-1), long + 1, 1),
-    )
+    # How far a state with an edit is from its node's depth says how long its neighbour is.
+    cases = [
+        (fresh & same_letter & goes_on & ((at + long < size) | (F.col("follow") != "")), long, 0),
+        (~fresh & goes_to(F.col("goal")) & same_letter & goes_on & alive(long), long, 1),
+        (parts & goes_to(size) & (piece(1, long - 1) == tail) & (at + long <= size) & alive(long), long, 1),
+        (parts & goes_to(size + 1) & (piece(0, long - 1) == tail) & alive(long - 1), long - 1, 1),
+        (parts & goes_to(size - 1) & (piece(1, long) == label) & alive(long + 1), long + 1, 1),
+    ]
+    options = F.array(*[state(*c) for c in cases])
+    some = cases[0][0]
+    for ok, _, _ in cases[1:]:
+        some = some | ok
     shift = F.when(fresh, size + long - (F.col("next.at") - at)).otherwise(F.col("goal"))
-    moved = frontier.drop("ends").join(edges, "node").withColumn("next", F.explode(F.filter(options, lambda s: s["ok"])))
+    moved = frontier.drop("ends").join(edges, "node").where(some).withColumn("next", F.explode(F.filter(options, lambda s: s["ok"])))
     return moved.select(
         "id", "trie", "spelled", "size", "half", F.col("child").alias("node"), F.col("ends"),
         F.when(F.col("next.edits") == 1, shift).otherwise(size).alias("goal"), F.col("next.at").alias("at"), F.col("next.edits").alias("edits"),
