@@ -14,8 +14,9 @@ cost follows from the audit and its rows, and of two audits of one span none is
 unless that one has more insertions and costs more.
 
 Rows are ordered by turn (nulls first), then role and text. They are dealt by ranges of that order, so a long conversation
-lies in many tasks. Each task reduces its stretch of a conversation to pieces with the 11 cells of their span; only
-these meet, and the states between pieces that follow from them are sent back to the rows of each piece. Rows equal in all
+lies in many tasks. A conversation in the midst of a task's rows is whole and repaired there. Of others, each task reduces its
+stretch to pieces with the 11 cells of their span; only these meet, and the states between pieces that follow from them are sent back to
+the rows of each piece. Rows equal in all
 columns are counted before they are dealt.
 
 Nulls in role and text are read as one blank. A null turn is a place before all others, a null conv_id a conversation. A role
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from riskflow.llm.common import materialize
 
@@ -152,11 +153,13 @@ def _faulty_rows(rows: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c)
     counted = rows.select("conv_id", "turn", text("role"), text("text")).groupBy("conv_id", "turn", "role", "text")
     counted = counted.agg(F.count(F.lit(1)).alias("copies"))
-    again = counted.groupBy("conv_id", "role", "text").agg(F.min(F.struct("turn")).alias("since"), F.count(F.lit(1)).alias("turns"))
-    again = again.where("turns > 1").select(*[F.col(c).alias(f"_{c}") for c in ("conv_id", "role", "text")], "since")
+    again = counted.groupBy("conv_id", "role", "text").agg(
+        F.min("turn").alias("since"), F.max(F.col("turn").isNull()).alias("unplaced"), F.count(F.lit(1)).alias("turns")
+    )
+    again = again.where("turns > 1").select(*[F.col(c).alias(f"_{c}") for c in ("conv_id", "role", "text")], "since", "unplaced")
     same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("role") == F.col("_role")) & (F.col("text") == F.col("_text"))
     marked = counted.join(again, same, "left")
-    later = F.col("since").isNotNull() & ~F.struct("turn").eqNullSafe(F.col("since"))
+    later = F.col("unplaced").isNotNull() & F.col("turn").isNotNull() & (F.col("unplaced") | (F.col("turn") > F.col("since")))
     body = F.rtrim(F.col("text"), F.lit(WHITE))
     blank = body == ""
     cut = ~F.right(body, F.lit(1)).isin(".", "!", "?")
@@ -174,8 +177,9 @@ COUNTS = ("blank", "duplicate", "truncated", "illegal")
 class _Piece:
     """A stretch of rows of one conversation."""
 
-    def __init__(self, conv_id) -> None:
-        self.conv_id, self.span, self.rows, self.chars = conv_id, Span(), [], 0
+    def __init__(self, conv_id, begun: bool = True) -> None:
+        """`begun`: the piece holds the first rows that this task has of its conversation."""
+        self.conv_id, self.begun, self.span, self.rows, self.chars = conv_id, begun, Span(), [], 0
         self.counts = dict.fromkeys(COUNTS, 0)
         self.turns = 0
         self.first_turn = self.last_turn = None
@@ -196,39 +200,57 @@ class _Piece:
     def record(self, place: int) -> dict:
         cells = [None if c is None else {"cost": c[0], "audit": c[1]} for c in self.span.cells()]
         return {
-            "conv_id": self.conv_id, "piece": place, "cells": cells,
+            "conv_id": self.conv_id, "piece": place, "alone": False, "cells": cells,
             "first_role": self.rows[0][0][:1], "last_role": self.rows[-1][0][:1],
             "turns": self.turns, "first_turn": self.first_turn, "last_turn": self.last_turn, **self.counts,
             "roles": [r for r, _ in self.rows], "texts": [t for _, t in self.rows],
         }
 
 
+def _chars(record: dict) -> int:
+    return sum(map(len, record.get("texts") or ())) + sum(len(e["text"]) for e in record.get("edits") or ())
+
+
 def _batches(records: Iterator[dict], schema: pa.Schema, rows: int = 500) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for r in records:
         held.append(r)
-        size += len(r.get("texts") or ()) + 1
-        if len(held) >= rows or size >= PIECE_ROWS:
+        size += _chars(r)
+        if len(held) >= rows or size >= PIECE_CHARS:
             yield pa.RecordBatch.from_pylist(held, schema)
             held, size = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def _row_dicts(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[dict]:
+def _row_dicts(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[dict]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield from batch.slice(start, rows).to_pylist()
 
 
+def _settled(piece: dict) -> dict:
+    """A piece that is a whole conversation, repaired."""
+    (found,) = _chosen([piece])
+    edits = apply_audit(found["part"], list(zip(piece["roles"], piece["texts"], strict=True)))
+    return {**found, "alone": True, "edits": [dict(zip(("edit", "role", "text"), e, strict=True)) for e in edits]}
+
+
 def _pieces(rows: Iterator[dict]) -> Iterator[dict]:
+    """Pieces of this task's conversations. One that is neither its first nor its last, and has one piece, is whole and settled here."""
     place = TaskContext.get().partitionId() << 40
     piece: _Piece | None = None
+    first = True
     for r in rows:
         for copy in range(r["copies"]):
-            if piece is not None and (piece.conv_id != r["conv_id"] or len(piece.rows) >= PIECE_ROWS or piece.chars >= PIECE_CHARS):
+            if piece is not None and piece.conv_id != r["conv_id"]:
+                # Another conversation begins, so the one before ends here.
+                record = piece.record(place)
+                yield _settled(record) if not first and piece.begun else record
+                piece, place, first = None, place + 1, False
+            elif piece is not None and (len(piece.rows) >= PIECE_ROWS or piece.chars >= PIECE_CHARS):
                 yield piece.record(place)
-                piece, place = None, place + 1
+                piece, place = _Piece(r["conv_id"], begun=False), place + 1
             piece = piece or _Piece(r["conv_id"])
             piece.add(r["turn"], r["role"], r["text"], r["rest"] if copy else r["first"])
     if piece is not None:
@@ -290,7 +312,7 @@ def _mapped(rows: DataFrame, schema: StructType, records) -> DataFrame:
 
 
 def repair(rows: DataFrame) -> DataFrame:
-    """Pieces of repaired conversations: conv_id, piece (its order), part (of the audit), edits (edit, role, text of
+    """Pieces of repaired conversations: conv_id, piece (its order), alone (it is the whole one), part (of the audit), edits (edit, role, text of
     the rows that are left), and with the first piece of a conversation gaps, blank, duplicate, truncated, illegal and cost.
 
     `repaired_rows` and `repair_report` make rows and a report of them.
@@ -306,23 +328,26 @@ def repair(rows: DataFrame) -> DataFrame:
     lists = [StructField("roles", ArrayType(StringType())), StructField("texts", ArrayType(StringType()))]
     light = [key, *long("piece"), StructField("cells", _cells_type()), *text("first_role", "last_role")]
     light += long("turns", "first_turn", "last_turn", *COUNTS)
-    pieces = materialize(_mapped(dealt, StructType([*light, *lists]), _pieces), "pieces")
-
-    ordered = pieces.drop("roles", "texts").repartition("conv_id").sortWithinPartitions("conv_id", "piece")
+    edits = StructField("edits", ArrayType(StructType(text("edit", "role", "text"))))
+    alone = StructField("alone", BooleanType())
+    settled = [*text("part"), *long("gaps", "cost"), edits]
+    pieces = materialize(_mapped(dealt, StructType([*light, *lists, alone, *settled]), _pieces), "pieces")
+    repaired = StructType([key, *long("piece"), alone, *text("part"), *long("gaps", *COUNTS, "cost"), edits])
+
+    parts = pieces.where("NOT alone").drop(*[f.name for f in settled])
+    ordered = parts.drop("roles", "texts", "alone").repartition("conv_id").sortWithinPartitions("conv_id", "piece")
     chosen = StructType([key, *long("piece", "state"), *text("part"), *long("gaps", *COUNTS, "cost")])
     states = _mapped(ordered, chosen, lambda found: (c for p in _by_conversation(found) for c in _chosen(p)))
     states = states.withColumnsRenamed({"conv_id": "_conv_id", "piece": "_piece"})
     same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & (F.col("piece") == F.col("_piece"))
-    both = pieces.select("conv_id", "piece", "roles", "texts").join(states, same).drop("_conv_id", "_piece")
-    edit = StructType(text("edit", "role", "text"))
-    repaired = StructType([key, *long("piece"), *text("part"), *long("gaps", *COUNTS, "cost"), StructField("edits", ArrayType(edit))])
+    both = parts.select("conv_id", "piece", "alone", "roles", "texts").join(states, same).drop("_conv_id", "_piece")
 
     def edited(found: Iterator[dict]) -> Iterator[dict]:
         for r in found:
             left = apply_audit(r["part"], list(zip(r["roles"], r["texts"], strict=True)), r["state"])
             yield {**{f.name: r[f.name] for f in repaired.fields[:-1]}, "edits": [dict(zip(("edit", "role", "text"), e, strict=True)) for e in left]}
 
-    return _mapped(both, repaired, edited)
+    return pieces.where("alone").select(*repaired.names).union(_mapped(both, repaired, edited))
 
 
 def repaired_rows(repaired: DataFrame) -> DataFrame:
@@ -353,9 +378,10 @@ def repair_report(repaired: DataFrame) -> DataFrame:
     The hash is of the repaired `role:text`, joined by line ends. gaps is the last turn less the first one, plus 1, less the number of
     distinct turns, all without nulls; illegal counts neighbours, before the repair, whose roles don't begin with su, ua or au.
     """
-    ordered = repaired.repartition("conv_id").sortWithinPartitions("conv_id", "piece")
+    ordered = repaired.where("NOT alone").repartition("conv_id").sortWithinPartitions("conv_id", "piece")
     fields = [repaired.schema["conv_id"], *[StructField(n, LongType()) for n in ("gaps", *COUNTS, "cost")]]
-    return _mapped(ordered, StructType([*fields, StructField("audit", StringType()), StructField("repaired_sha256", StringType())]), _reported)
+    schema = StructType([*fields, StructField("audit", StringType()), StructField("repaired_sha256", StringType())])
+    return _mapped(repaired.where("alone"), schema, _reported).union(_mapped(ordered, schema, _reported))
 
 
 def damaged(rows: DataFrame) -> DataFrame:

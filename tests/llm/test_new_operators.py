@@ -227,8 +227,10 @@ def test_a_long_conversation_in_many_pieces(spark, monkeypatch):
     ordered = sorted((r.asDict() for r in faulty.collect()), key=lambda r: (r["conv_id"], (r["turn"] is not None, r["turn"] or 0), r["role"], r["text"]))
     monkeypatch.setattr(repair.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
     pieces = list(repair._pieces(iter(ordered)))
-    assert len(pieces) > 60 and all(len(p["texts"]) <= 16 for p in pieces)
-    chosen = [c for p in repair._by_conversation(iter(pieces)) for c in repair._chosen(p)]
+    assert len(pieces) > 60 and all(len(p["texts"]) <= 16 for p in pieces if not p["alone"])
+    assert [p["conv_id"] for p in pieces if p["alone"]] == [8]  # 7 is the first, 9 the last one and both are cut
+    split = [p for p in pieces if not p["alone"]]
+    chosen = [c for p in repair._by_conversation(iter(split)) for c in repair._chosen(p)] + [p for p in pieces if p["alone"]]
     for c in conversations:
         own = [x for x in chosen if x["conv_id"] == c]
         assert "".join(x["part"] for x in own) == expected[c][6]
