@@ -42,19 +42,38 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
-def _later_characters(pattern: str) -> tuple[str, re.Pattern, regex.Pattern]:
-    """The first of, and a pattern for, characters that only later Unicode versions than Python's call letters or
-    numbers, and the given pattern without them: the tokenizers library takes them for neither.
-    """
-    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    later = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", everything) if unicodedata.category(c) == "Cn"]
-    gaps = np.flatnonzero(np.diff(later) > 1)
-    starts, stops = [later[0], *(later[g + 1] for g in gaps)], [*(later[g] for g in gaps), later[-1]]
-    ranges = "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, stops, strict=True))
+# What the tokenizers library, whose tables are of Unicode 16, takes otherwise than Python and `regex` here do.
+# Letters and numbers that came later, as first and last code point.
+LATER_LETTERS = """
+558-558 58b-58c 88f-88f c5c-c5c cdc-cdc 208f-208f 209d-209f a7cf-a7cf a7dd-a7dd a7e2-a7e2 a7f1-a7f1 ab6c-ab6d 107bb-107bf
+10940-10959 10ec5-10ec7 10ed9-10eee 11b0a-11b0a 11db0-11ddb 11de0-11de9 11df1-11df1 1246f-1246f 12475-1247f 12550-12686
+16ebb-16ed3 16ff2-16ff6 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 1b168-1b168
+1d6a6-1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4
+1e6fe-1e6ff 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f
+"""
+# Capitals that it lowers: first and last code point, first small letter.
+LATER_CAPITALS = """
+1c89-1c89:1c8a a7cb-a7cb:264 a7cc-a7cc:a7cd a7ce-a7ce:a7cf a7d2-a7d2:a7d3 a7d4-a7d4:a7d5 a7da-a7da:a7db a7dc-a7dc:19b
+10d50-10d65:10d70 16ea0-16eb8:16ebb
+"""
+
+
+def _ranges(text: str) -> list[tuple[int, int]]:
+    return [tuple(int(x, 16) for x in part.split(":")[0].split("-")) for part in text.split()]
+
+
+def _small_letters() -> dict[int, int]:
+    firsts = [int(part.split(":")[1], 16) for part in LATER_CAPITALS.split()]
+    return {c: small + c - a for (a, b), small in zip(_ranges(LATER_CAPITALS), firsts, strict=True) for c in range(a, b + 1)}
+
+
+def _without_later_letters(pattern: str) -> tuple[re.Pattern, regex.Pattern]:
+    """A pattern for the later letters, and the given one, in which they are what is neither letter nor number."""
+    ranges = "".join(f"{chr(a)}-{chr(b)}" for a, b in _ranges(LATER_LETTERS))
     # Either class is used in sets of its own or in the set of what is neither.
     without = pattern.replace(r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{ranges}])+")
     without = without.replace(r"[\p{L}]+", rf"[\p{{L}}--[{ranges}]]+").replace(r"|[\p{N}]|", rf"|[\p{{N}}--[{ranges}]]|")
-    return chr(later[0]), re.compile(f"[{ranges}]"), regex.compile(without, regex.V1)
+    return re.compile(f"[{ranges}]"), regex.compile(without, regex.V1)
 
 
 class OffsetTable:
@@ -109,7 +128,9 @@ class Tokenizer:
             raise ValueError("this kind of vocabulary file is not supported")
         pattern = split["pattern"]["Regex"]
         self.words = regex.compile(pattern)
-        self.first_later, self.later_pattern, self.later_words = _later_characters(pattern)
+        self.later_pattern, self.later_words = _without_later_letters(pattern)
+        self.small_letters = _small_letters()
+        self.first_later = chr(min(_ranges(LATER_LETTERS))[0])
         suffix, vocabulary = model["end_of_word_suffix"], model["vocab"]
         self.to_characters = {b: ord(c) for b, c in _byte_characters().items()}
         self.special = {x["content"]: x["id"] for x in parts["added_tokens"]}
@@ -218,8 +239,10 @@ class Tokenizer:
         # Characters are lowered one by one, so a sigma that ends a word stays the common one.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         words = self.words
-        if text and max(text) >= self.first_later and self.later_pattern.search(text):
-            words = self.later_words
+        if text and max(text) >= self.first_later:
+            text = text.translate(self.small_letters)
+            if self.later_pattern.search(text):
+                words = self.later_words
         return b"".join(map(self.remembered.__getitem__, words.findall(text)))
 
     def encode(self, text: str) -> np.ndarray:
