@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import chunks
@@ -261,28 +261,25 @@ def held_out() -> Column:
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """A model of at most `sample_docs` documents of each language, chosen by a hash of their ids.
+    """A model of at most `sample_docs` documents of each language: those with the smallest hashes of id and text.
 
-    Held-out rows and rows without lang, text or doc_id aren't used.
+    Held-out rows and rows without lang, text or doc_id aren't used. Rows equal in id and text count once, so a repeated id
+    takes no more and no less than its texts' share; all of a language are taken if there are fewer.
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
+    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("chance"))
+    # One number for each text; only the first of each language leave a task.
+    numbers = rows.select("lang", "chance").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("chance"))
+    first = numbers.withColumn("place", place).where(F.col("place") <= sample_docs).select("lang", "chance")
+    first = first.limit((MAX_LANGUAGES + 1) * sample_docs).collect()
+    if len({r.lang for r in first}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
+    if not first:
         return fit([])
-    # About twice the documents by a share of the hash values, of which the first are taken.
-    span = 1 << 31
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(span))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(span, 2 * sample_docs * span // n))])
-    picked = rows.where(chance < share[F.col("lang")]).select("lang", chance.alias("chance"), "doc_id", "text").collect()
-    taken: Counter = Counter()
-    sample = []
-    for r in sorted(picked, key=lambda r: (r.lang, r.chance, r.doc_id, r.text)):
-        if taken[r.lang] < sample_docs:
-            taken[r.lang] += 1
-            sample.append((r.text, r.lang))
-    return fit(sample)
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(first, "lang string, chance long"))  # of the bounded sample
+    picked = rows.join(chosen, ["lang", "chance"], "left_semi").groupBy("lang", "chance").agg(F.min("text").alias("text")).collect()
+    return fit([(r.text, r.lang) for r in sorted(picked, key=lambda r: (r.lang, r.chance))])
 
 
 _labellers: dict[str, Labeller] = {}
