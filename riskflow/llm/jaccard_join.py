@@ -1,6 +1,7 @@
 """Finds documents whose sets of five-word shingles are alike, with Bayesian pruning of candidate pairs.
 
-Equal texts are one text. Texts that agree in some band of MinHash values are candidates. The values of
+Equal texts are one text. Texts that agree in some band of MinHash values are candidates; the threshold tells how many bands
+there are. The values of
 a pair are compared a few at a time; as soon as the probability that its similarity reaches the threshold, given the
 values that agree so far, is below a tolerance, the pair is dropped. What is left joins texts to
 clusters, and inside these every pair that passes the same test is verified on its whole shingle sets.
@@ -11,7 +12,7 @@ a group of its own.
 """
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from riskflow.llm.common import chunks, components, materialize, text_or_empty,
 SHINGLE, THRESHOLD = 5, 0.8
 #: MinHash values of a text, those compared at a time, and the probability below which a pair is dropped.
 VALUES, STEP, TOLERANCE = 128, 16, 1e-7
-#: Bands of so many values each: a pair at the threshold shares none with a probability of 3e-8.
-BANDS, ROWS = 24, 3
+#: Values in a band at most, and the probability with which a pair at the threshold may share no band.
+ROWS, MISS = 3, 3.4e-8
 #: Texts in a slot of a large group.
 SLOT = 400
 #: Pairs compared at a time; words a task remembers the hashes of.
@@ -78,6 +79,15 @@ def signature(found: np.ndarray) -> np.ndarray:
     return least
 
 
+def banding(threshold: float = THRESHOLD) -> tuple[int, int]:
+    """Number of bands and of values in each: the longest bands of which enough fit into a signature."""
+    for rows in range(ROWS, 0, -1):
+        bands = ceil(log(MISS) / log(1 - threshold**rows)) if threshold < 1 else 1
+        if bands * rows <= VALUES:
+            return bands, rows
+    raise ValueError(f"{VALUES} values are too few for a similarity of {threshold}")
+
+
 def needed(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> dict[int, int]:
     """By the number of values compared, how many must agree for a pair to stay.
 
@@ -142,9 +152,9 @@ def _joined(rows: int, edges: list[tuple[np.ndarray, np.ndarray]], order: np.nda
         root = new
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of texts whose values stay alike: a text and the smallest one of its group it hangs together with."""
-    least = needed()
+    least = needed(threshold)
     for rows, group in whole_groups(batches, ["bucket", "low", "high"]):
         text = rows.column("text").to_numpy()
         side = rows.column("slot").to_numpy()
@@ -209,18 +219,19 @@ def _in_slots(members: DataFrame, group: str, size: str) -> DataFrame:
     return paired.withColumns({"low": F.least("slot", "other"), "high": F.greatest("slot", "other")}).drop("slots", "other", size)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    n_bands, in_band = banding(threshold)
     for batch in batches:
         for part in chunks(batch, "text"):
             found = [shingles(t) for t in part.column("text").to_pylist()]
             signed = np.stack([signature(x) for x in found])
             with np.errstate(over="ignore"):
-                bands = signed[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-                keys = np.arange(BANDS, dtype=np.uint64)[None, :] * _POWERS[SHINGLE]
-                for k in range(ROWS):
+                bands = signed[:, : n_bands * in_band].reshape(-1, n_bands, in_band).astype(np.uint64)
+                keys = np.arange(n_bands, dtype=np.uint64)[None, :] * _POWERS[SHINGLE]
+                for k in range(in_band):
                     keys = _mix(keys + bands[:, :, k] * _POWERS[k])
             keys[[not len(x) for x in found]] = 0
-            offsets = np.arange(0, len(found) * BANDS + 1, BANDS, dtype=np.int32)
+            offsets = np.arange(0, len(found) * n_bands + 1, n_bands, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(part.column(c) for c in ("doc_id", "h1", "h2")),
@@ -251,7 +262,7 @@ def _linked_texts(keyed: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
     Texts of one class, and no others, have the same root.
     """
     signed = materialize(
-        keyed.mapInArrow(_signatures, "doc_id long, h1 long, h2 long, size int, values binary, bands array<long>"), "signatures"
+        keyed.mapInArrow(lambda batches: _signatures(batches, threshold), "doc_id long, h1 long, h2 long, size int, values binary, bands array<long>"), "signatures"
     )
     texts = signed.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("first_id"),
@@ -276,7 +287,7 @@ def _linked_texts(keyed: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
     members = banded.join(materialize(buckets, "buckets"), "bucket")
     grouped = _in_slots(members, "bucket", "members").join(texts.select("text", "values"), "text")
     order = ["bucket", "low", "high"]
-    links = grouped.repartition(*order).sortWithinPartitions(*order).mapInArrow(_candidates, "a long, b long")
+    links = grouped.repartition(*order).sortWithinPartitions(*order).mapInArrow(lambda batches: _candidates(batches, threshold), "a long, b long")
     clusters = components(materialize(links.distinct(), "candidate-links"))
     clusters = materialize(clusters.select(F.col("node").alias("text"), F.col("root").alias("cluster")), "clusters")
 
