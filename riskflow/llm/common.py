@@ -1,5 +1,6 @@
 """Helpers shared by the operators of this package."""
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,6 +15,8 @@ from riskflow.sources.sinks import through_table
 
 #: Text bytes that one task handles at a time.
 CHUNK_BYTES = 1 << 20
+#: What is sent to Python at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -54,6 +57,18 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
             yield batch.slice(start, stop - start)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on tasks of this session send Python at most BATCH_ROWS rows or BATCH_BYTES at once, unless it is set to less.
+
+    A batch lies in the memory of the executor and of the worker, beyond the heap; the usual 10,000 rows of text are many MB.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = int(re.match(r"-?\d+", spark.conf.get(name))[0])
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
 def total_bytes(rows: DataFrame, column: str = "text") -> int:
     return rows.agg(F.sum(F.octet_length(column))).first()[0] or 0
 

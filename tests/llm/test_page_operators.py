@@ -404,3 +404,18 @@ def test_pipeline_keeps_clashing_columns(spark):
         r = docs.first()
         assert (r.score, r.kept, r.h1, r.n_lines) == ("score", "kept", "h1", "n_lines"), name
     assert line_dedup.dedup_lines(docs).count() == docs.count()
+
+
+def test_a_repeated_id_leaves_the_others_in_the_sample(spark, monkeypatch):
+    """One id used for most rows, with one text or with many: the sample is full, bounded and has the others."""
+    texts = {"en": "the river runs over the old stones", "de": "der alte Fluss und die grauen Steine"}
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda sample: seen.append(sample))
+    for hot in (1, 2, 3, 4):
+        rows = [(n + 100, f"{t} number {n}", lang) for n in range(60) for lang, t in texts.items()]
+        rows += [(hot, "one repeated text of one id", "en")] * 3000 + [(hot, f"another text {n}", "de") for n in range(500)] + [(None, "no id", "en")]
+        language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=25)
+        counts = Counter(lang for _, lang in seen[-1])
+        assert counts == {"en": 25, "de": 25} and len(set(seen[-1])) == 50
+    language.train(spark.createDataFrame(rows[:40], "doc_id long, text string, lang string"), sample_docs=25)
+    assert 20 < len(seen[-1]) <= 40

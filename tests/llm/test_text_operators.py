@@ -294,3 +294,44 @@ def test_similar_edges(spark):
     found = Counter(map(tuple, jaccard_join.similar_documents(documents(spark)).collect()))
     assert found == expected_classes(ROWS)
     assert jaccard_join.similar_documents(empty(spark)).count() == 0
+
+
+# Wrong results of earlier versions
+
+
+def test_every_code_point_is_encoded_as_the_library_does(reference):
+    tokenizer = bpe.Tokenizer(open(VOCABULARY, encoding="utf-8").read())
+    texts = [f"a{chr(c)}b1{chr(c)}.{chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x40000 or c % 997 == 0)]
+    for text, expected in zip(texts, reference.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert tokenizer.encode(text).tolist() == expected.ids, [hex(ord(c)) for c in text]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.6, 0.8])
+def test_similar_documents_at_other_thresholds(spark, threshold):
+    pick = random.Random(threshold)
+    base = [[f"w{pick.randrange(4000)}" for _ in range(60)] for _ in range(12)]
+    rows = []
+    for words in base:
+        for _ in range(14):
+            changed = list(words)
+            for _ in range(pick.randrange(0, 9)):
+                changed[pick.randrange(len(changed))] = f"x{pick.randrange(10**6)}"
+            rows.append((len(rows), " ".join(changed)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    links = Counter()
+    for i, j in ((i, j) for i in sets for j in sets if i < j):
+        if len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9:
+            links[i] += 1
+            links[j] += 1
+    assert sum(links.values()) > 40
+    found = jaccard_join.similar_documents(frame(spark, rows), threshold=threshold).collect()
+    assert {r.doc_id: r.n_links for r in found} == {i: links[i] for i in sets}
+
+
+def test_banding():
+    assert jaccard_join.banding(0.8) == (24, 3)
+    for threshold in (0.3, 0.5, 0.6, 0.7, 0.9, 1.0):
+        bands, in_band = jaccard_join.banding(threshold)
+        assert bands * in_band <= jaccard_join.VALUES and (1 - threshold**in_band) ** bands <= jaccard_join.MISS
+    with pytest.raises(ValueError, match="too few"):
+        jaccard_join.banding(0.05)
