@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup
-from riskflow.llm.common import materialize
+from riskflow.llm.common import bounded_batches, materialize
 
 #: Documents whose words are of their likeliest language with a smaller mean probability are rejected.
 MIN_SCORE = 0.3
@@ -25,6 +25,7 @@ def _set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters whose language is told with some certainty. A null text is rejected."""
+    bounded_batches(spark)
     rows, back = _set_aside(docs, ("lang_pred", "score"))
     judged = language.identify(rows, language.train(docs))
     kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
@@ -33,6 +34,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that many share. `n_chars` is that of the new text."""
+    bounded_batches(spark)
     rows, back = _set_aside(docs, ("n_lines", "n_dropped", "kept"))
     found = line_dedup.dedup_lines(rows).withColumn("text", F.col("kept"))
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*rows.columns).withColumnsRenamed(back)
@@ -40,17 +42,20 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of similar documents, that with the smallest id; rows without id, or with one used twice, count as any."""
+    bounded_batches(spark)
     return jaccard_join.one_of_each_class(docs)
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of `benchmark`."""
+    bounded_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.without_contaminated(docs, items)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with `ids`, the token ids of the text, and `n_tokens`."""
+    bounded_batches(spark)
     rows = bpe.encode(docs, public_tokenizers.path(VOCABULARY))
     return rows.withColumn("n_tokens", F.size("ids").cast("long"))
 
