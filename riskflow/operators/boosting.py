@@ -73,8 +73,8 @@ class BoostedModel:
 
 def quantile_cuts(view: DataFrame, features: list[str], bins: int) -> list[list[float]]:
     """For each feature the distinct values at `bins` - 1 even ranks, in order; at most features x bins numbers."""
-    shares = [k / bins for k in range(1, bins)]
-    found = view.agg(*[F.percentile_approx(F.col(f), shares, 10_000) for f in features]).first()
+    shares = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
+    found = view.agg(*[F.expr(f"percentile_approx(`{f}`, array({shares}), 10000)") for f in features]).first()
     return [sorted({v for v in values or [] if isfinite(v)}) for values in found]
 
 
@@ -93,7 +93,8 @@ def binned(view: DataFrame, features: list[str], cuts: list[list[float]], weight
 
 
 def _numbers(values: list, kind: str) -> str:
-    return f"from_json('{json.dumps(values)}', 'array<{kind}>')"
+    """An array as SQL that the optimizer makes one constant of, whatever its length is."""
+    return f"cast(split('{','.join(map(repr, values))}', ',') AS array<{kind}>)"
 
 
 def _node(tree: Tree, depth: int) -> str:
@@ -107,18 +108,17 @@ def _node(tree: Tree, depth: int) -> str:
     )
 
 
-def _with_gradients(rows: DataFrame, margin: Column) -> DataFrame:
-    rows = rows.select("bins", "label", "weight", margin.alias("margin"))
-    p = 1 / (1 + F.exp(-F.col("margin")))
-    units = lambda value: F.round(value * F.col("weight") * float(UNIT)).cast("bigint")
-    return rows.withColumns({"g": units(p - F.col("label")), "h": units(p * (1 - p))})
+def _with_gradients(rows: DataFrame, margin: str) -> DataFrame:
+    p = rows.selectExpr("bins", "label", "weight", f"{margin} AS margin").selectExpr("*", "1 / (1 + exp(-margin)) AS p")
+    units = lambda value: f"bigint(round({value} * weight * {UNIT}D))"
+    return p.selectExpr("bins", "label", "weight", "margin", f"{units('(p - label)')} AS g", f"{units('(p * (1 - p))')} AS h")
 
 
 def histograms(rows: DataFrame, tree: Tree, depth: int) -> DataFrame:
     """node, feature, bin, g, h, n for the nodes at a depth of the tree that rows have reached."""
-    reached = rows.select(F.expr(_node(tree, depth)).alias("node"), "g", "h", "bins").where(F.col("node") >= 1 << depth)
-    cells = reached.select("node", "g", "h", F.posexplode("bins").alias("feature", "bin"))
-    return cells.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    reached = rows.selectExpr(f"{_node(tree, depth)} AS node", "g", "h", "bins").where(f"node >= {1 << depth}")
+    cells = reached.selectExpr("node", "g", "h", "posexplode(bins) AS (feature, bin)")
+    return cells.groupBy("node", "feature", "bin").agg(F.expr("sum(g) AS g"), F.expr("sum(h) AS h"), F.expr("count(1) AS n"))
 
 
 def _score(g: np.ndarray, h: np.ndarray, l2: float) -> np.ndarray:
@@ -157,6 +157,21 @@ def _grow(tree: Tree, found: dict[str, np.ndarray], model: BoostedModel) -> bool
     return any_split
 
 
+def _short_jobs(spark: SparkSession) -> SparkSession:
+    """A session for the hundreds of short jobs of a fit: tasks by the size of the binned table, and one task for the sums
+    of a level, whose number has a bound that doesn't depend on the rows.
+    """
+    inner = spark.newSession()
+    for k, v in {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "1",
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.files.maxPartitionBytes": "16m",
+    }.items():
+        inner.conf.set(k, v)
+    return inner
+
+
 def _level(rows: DataFrame, tree: Tree, depth: int) -> dict[str, np.ndarray]:
     table = histograms(rows, tree, depth).toArrow()  # nodes x features x bins rows at most
     return {c: table.column(c).to_numpy() for c in table.column_names}
@@ -181,33 +196,37 @@ def fit(view: DataFrame, features: list[str], booster: Booster, weight: str | No
     spark = view.sparkSession
     class_sizes(view, "label")
     model = BoostedModel(list(features), booster, quantile_cuts(view, features, booster.bins))
-    rows = through_table(binned(view, features, model.cuts, weight), scratch_path(spark, "binned"))
+    path = scratch_path(spark, "binned")
+    through_table(binned(view, features, model.cuts, weight), path)
+    inner = _short_jobs(spark)
+    rows = inner.read.parquet(path)
     if weight:
         mean = rows.agg(F.avg("weight")).first()[0]
         rows = rows.withColumn("weight", F.col("weight") / F.lit(mean))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = _with_gradients(rows.repartition(tasks), F.lit(0.0)).persist(StorageLevel.MEMORY_AND_DISK)
+    held = _with_gradients(rows, "0D").persist(StorageLevel.MEMORY_AND_DISK)
+    before: DataFrame | None = None
     try:
         for done in range(1, booster.rounds + 1):
             tree = Tree.empty(booster.depth)
             for depth in range(booster.depth):
                 sums = _level(held, tree, depth)
+                if before is not None:  # the first level has read it for the last time
+                    before.unpersist()
+                    before = None
                 if not len(sums["node"]) or not _grow(tree, sums, model):
                     break
                 _leaf_values(tree, sums, model)
             model.trees.append(tree)
             if done == booster.rounds:
                 break
-            added = F.expr(f"{_numbers(tree.value, 'double')}[{_node(tree, booster.depth)}]")
-            following = _with_gradients(held, F.col("margin") + added)
+            following = _with_gradients(held, f"margin + {_numbers(tree.value, 'double')}[{_node(tree, booster.depth)}]")
             if done % CHECKPOINT_ROUNDS == 0:
-                following = through_table(following, scratch_path(spark, "margins")).repartition(tasks)
-            following = following.persist(StorageLevel.MEMORY_AND_DISK)
-            following.count()
-            held.unpersist()
-            held = following
+                following = through_table(following, scratch_path(spark, "margins"))
+            before, held = held, following.persist(StorageLevel.MEMORY_AND_DISK)
     finally:
-        held.unpersist()
+        for rows in (held, before):
+            if rows is not None:
+                rows.unpersist()
     return model
 
 
