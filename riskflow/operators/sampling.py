@@ -99,11 +99,18 @@ def class_sizes(rows: DataFrame, label: str) -> dict[int, int]:
     return {int(k): v for k, v in sizes.items()}
 
 
+def _row_uniform(rows: DataFrame, key: str, seed: int) -> Column:
+    """The hash of a row's key; rows without one are spread by the hash of the whole row."""
+    everything = hash_uniform(F.xxhash64(*[F.col(c) for c in rows.columns]), seed)
+    return F.when(F.col(key).isNull(), everything).otherwise(hash_uniform(key, seed))
+
+
 def oversample_bootstrap(rows: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
     """All rows plus draws with replacement from the smaller class until both have equal size.
 
     The draws are counted per drawn row before they meet the data, so the join moves at most one
-    row per pair (row, chunk) and no key of it is hot; the copies appear after it.
+    row per pair (row, chunk) and no key of it is hot; the copies appear after it. The rows are read several times: hand over a
+    table, not a plan that is dear to run. To train on balanced classes `class_weights` needs no copies.
     """
     small, size, missing = _shortfall(rows, label)
     if missing == 0:
@@ -119,7 +126,7 @@ def oversample_bootstrap(rows: DataFrame, label: str, key: str, seed: int = SEED
         .groupBy("_index", "_chunk")
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    indexed = dense_index(rows.where(F.col(label) == small), hash_uniform(key, seed), [key], "_index")
+    indexed = dense_index(rows.where(F.col(label) == small), _row_uniform(rows, key, seed), [key], "_index")
     drawn = indexed.join(draws, "_index")
     return rows.unionByName(_repeat(drawn, missing, rows.columns))
 
@@ -130,7 +137,7 @@ def oversample_replicate(rows: DataFrame, label: str, key: str, seed: int = SEED
     if missing == 0:
         return rows
     each, rest = divmod(missing, size)
-    indexed = dense_index(rows.where(F.col(label) == small), hash_uniform(key, seed), [key], "_index")
+    indexed = dense_index(rows.where(F.col(label) == small), _row_uniform(rows, key, seed), [key], "_index")
     copies = F.lit(each) + (F.col("_index") < rest).cast("int")
     chunks = -(-(each + 1) // COPIES_PER_ROW)
     chunked = (

@@ -341,11 +341,11 @@ def relabel_sample_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def oversample_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.oversample_bootstrap(_dataset(spark, sf), "IsLaundering", "From_Account")
+    return sampling.oversample_bootstrap(_training_table(spark, sf), "IsLaundering", "From_Account")
 
 
 def oversample_replicate(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.oversample_replicate(_dataset(spark, sf), "IsLaundering", "From_Account")
+    return sampling.oversample_replicate(_training_table(spark, sf), "IsLaundering", "From_Account")
 
 
 # Model inputs and scoring
@@ -571,7 +571,7 @@ def balanced_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 def balanced_split(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and accounts of each class in both parts, and accounts that are in both."""
-    training, testing = sampling.balanced_split(_dataset(spark, sf), "IsLaundering", "From_Account")
+    training, testing = sampling.balanced_split(_training_table(spark, sf), "IsLaundering", "From_Account")
     columns = ["From_Account", "IsLaundering"]
     both = union_sources({"train": training.select(columns), "test": testing.select(columns)}, "split")
     sides = F.size(F.collect_set("split"))

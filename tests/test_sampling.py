@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow.functions.columns import hash_uniform
+from riskflow.functions.columns import bucket_of, hash_uniform
 from riskflow.operators import sampling
 from riskflow.operators.ordering import dense_index
 from tests.conftest import plan_of, rows
@@ -93,3 +93,12 @@ def test_single_class_is_an_error(dataset):
         sampling.oversample_bootstrap(dataset.where("IsLaundering = 0"), "IsLaundering", "From_Account")
     with pytest.raises(ValueError, match="both present"):
         sampling.class_sizes(dataset.withColumn("IsLaundering", F.lit(2)), "IsLaundering")
+
+
+def test_rows_without_a_key_are_spread(spark):
+    """They are numbered in as many buckets as their rows have hashes, not in that of the null key."""
+    data = spark.range(2000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("x"), (F.col("id") % 5 == 0).cast("int").alias("label"))
+    for balance in (sampling.oversample_bootstrap, sampling.oversample_replicate):
+        assert dict(rows(balance(data, "label", "k").groupBy("label").count())) == {0: 1600, 1: 1600}
+    buckets = data.select(bucket_of(sampling._row_uniform(data, "k", 1), 1 << 16).alias("b")).distinct().count()
+    assert buckets > 1900
