@@ -1,7 +1,7 @@
-"""Removes byte strings that also start in a document with a smaller id, by bucket-pointer refinement.
+"""Removes byte strings that also start in a document with a smaller id, by buckets of q-grams that are refined.
 
-The order of all suffixes is never built; what counts is which suffixes share their first 50 bytes.
-So only some suffixes take part: of the 35 q-grams of a 50-byte window the smallest by a hash is its
+This replaces bucket-pointer refinement: no bucket identifier of a later offset is read or updated in rounds. The order of all
+suffixes is never built; what counts is which suffixes share their first 50 bytes. So only some suffixes take part: of the 35 q-grams of a 50-byte window the smallest by a hash is its
 anchor, the same one wherever the window stands. Anchors are put in buckets by q-gram. A bucket is refined by the
 name of its suffixes' later and earlier offsets, as far as the anchor's windows reach; where that leaves
 one bucket, its smallest document is known. Only buckets that it splits are refined further, window by
