@@ -7,6 +7,7 @@ checks the whole rule. Only distinct URLs take part, so a page that is repeated
 """
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,6 @@ LISTED_RULES = (
 #: Labelled pages that have a rule's tokens and a bad label, however many other pages there are, and share
 #: of bad labels among the pages that have its tokens.
 MIN_PAGES, MIN_CONFIDENCE = 10, 0.8
-BAD = "=bad"
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -58,6 +58,47 @@ def url_tokens(url: Column) -> Column:
     )
 
 
+def _under_rarest(sets: DataFrame, key: str, tokens: str, weights: DataFrame, out: str = "token") -> DataFrame:
+    """The sets with the token of theirs that the fewest pages have; `weights` has token and n."""
+    wanted = sets.select(key, F.explode(tokens).alias("token")).join(weights.select("token", "n"), "token", "left")
+    least = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).getField("token")
+    return sets.join(wanted.groupBy(key).agg(least.alias(out)), key)
+
+
+def _combinations(tokens: DataFrame, sums: DataFrame, needed: int, min_confidence: float) -> DataFrame | None:
+    """Rules of two tokens or more, none of which is a rule alone: tokens, bad, n. None if there can't be any."""
+    same = ["n", "bad", "h1", "h2"]
+    classes = sums.where(F.col("bad") < min_confidence * F.col("n") - 1e-9).groupBy(*same)
+    classes = materialize(classes.agg(F.min("token").alias("token"), F.collect_list("token").alias("members")), "token-classes")
+    named = materialize(tokens.join(classes.select("token"), "token"), "page-tokens")
+    baskets = materialize(named.where("bad").groupBy("id").agg(F.collect_list("token").alias("items")), "bad-pages")
+    count = baskets.count()
+    if count < needed:
+        return None
+    # Rounded up to a number of pages by FPGrowth; half a page less keeps that from being one too many.
+    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / count).fit(baskets)
+    sets = model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("names"), F.col("freq").alias("bad"))
+    sets = materialize(sets.withColumn("set_id", F.xxhash64("names")), "token-sets")
+    pages = named.groupBy("id").agg(F.collect_list("token").alias("has"))
+    hits = pages.select("has", F.explode("has").alias("token")).join(_under_rarest(sets, "set_id", "names", classes), "token")
+    totals = hits.where(F.size(F.array_except("names", "has")) == 0).groupBy("set_id").agg(F.count("*").alias("n"))
+    rules = sets.join(totals, "set_id").where(F.col("bad") >= min_confidence * F.col("n") - 1e-9)
+    rules = materialize(rules, "wide-url-rules")
+    # A shorter rule covers a longer one that has all its tokens; it is looked up by its rarest one.
+    short = _under_rarest(rules, "set_id", "names", classes).select(F.col("names").alias("covering"), "token")
+    long = rules.select("set_id", "names", F.explode("names").alias("token"))
+    covered = long.join(short, "token").where((F.size("covering") < F.size("names")) & (F.size(F.array_except("covering", "names")) == 0))
+    rules = rules.join(covered.select("set_id").distinct(), "set_id", "left_anti")
+    # Any member of a class may stand for it.
+    lists = rules.select("set_id", "bad", "n", F.explode("names").alias("token")).join(classes.select("token", "members"), "token")
+    lists = lists.groupBy("set_id", "bad", "n").agg(F.collect_list("members").alias("lists"))
+    start = F.array(F.array().cast("array<string>"))
+    combined = F.aggregate(
+        "lists", start, lambda done, members: F.flatten(F.transform(done, lambda d: F.transform(members, lambda m: F.concat(d, F.array(m)))))
+    )
+    return lists.select(F.explode(combined).alias("tokens"), "bad", "n")
+
+
 def mine_rules(
     labelled: DataFrame, min_support: float | None = None, min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES
 ) -> DataFrame:
@@ -66,31 +107,34 @@ def mine_rules(
     `labelled` has columns url and bad (boolean); rows with a null in either teach nothing. A rule needs
     `min_pages` bad pages with its tokens or, if given, the share `min_support` of all labelled pages. It is
     left out if a rule with fewer tokens, all of them its own, is kept. No labelled row gives no rule.
+
+    A token that is a rule alone covers every longer one with it, so such tokens are counted first and go no further. Tokens
+    that the same labelled pages have are interchangeable: FP-growth gets one of them, of bad pages only. How many
+    pages in all have a set is counted by an index. No rule is lost.
     """
     spark = labelled.sparkSession
-    items = F.concat(url_tokens(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")))
-    baskets = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(items.alias("items"))
     empty = spark.createDataFrame([], "rule_id long, tokens array<string>, support double, confidence double")
-    count = baskets.count()
-    if count < (min_pages if min_support is None else 1):
+    rows = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select("url", "bad", F.monotonically_increasing_id().alias("id"))
+    rows = materialize(rows, "labelled-pages")
+    count, bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    needed = min_pages if min_support is None else max(1, ceil(min_support * count - 1e-9))
+    if bad < max(1, needed):
         return empty
-    if min_support is None:
-        # Rounded up to a number of pages by FPGrowth; half a page less keeps that from being one too many.
-        min_support = (min_pages - 0.5) / count
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    found = materialize(
-        found.select(F.array_sort("antecedent").alias("tokens"), "support", "confidence")
-        .withColumn("rule_id", F.xxhash64("tokens")),
-        "url-rules",
+    tokens = rows.select("id", "url", "bad", F.explode(url_tokens(F.col("url"))).alias("token"))
+    whole = lambda c: F.sum(c.cast("decimal(38,0)"))
+    sums = tokens.groupBy("token").agg(
+        F.count("*").alias("n"),
+        F.count_if("bad").alias("bad"),
+        whole(F.xxhash64("url")).alias("h1"),
+        whole(F.xxhash64(F.lit(1), "url")).alias("h2"),
     )
-    # A shorter rule covers a longer one that has all its tokens; it is looked up by one of them.
-    short = found.select(F.col("tokens").alias("covering"), F.col("tokens")[0].alias("token"))
-    long = found.select("rule_id", "tokens", F.explode("tokens").alias("token"))
-    covered = long.join(short, "token").where(
-        (F.size("covering") < F.size("tokens")) & (F.size(F.array_except("covering", "tokens")) == 0)
+    sums = materialize(sums.where(F.col("bad") >= needed), "bad-tokens")
+    alone = sums.where(F.col("bad") >= min_confidence * F.col("n") - 1e-9).select(F.array("token").alias("tokens"), "bad", "n")
+    wide = _combinations(tokens.drop("url"), sums, needed, min_confidence)
+    found = (alone if wide is None else alone.union(wide)).withColumn("tokens", F.array_sort("tokens"))
+    return found.select(
+        F.xxhash64("tokens").alias("rule_id"), "tokens", (F.col("bad") / F.lit(count)).alias("support"), (F.col("bad") / F.col("n")).alias("confidence")
     )
-    return found.join(covered.select("rule_id").distinct(), "rule_id", "left_anti").select(*empty.columns)
 
 
 def matched_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:

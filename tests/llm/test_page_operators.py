@@ -119,6 +119,20 @@ def test_a_bad_host_is_found_among_any_number_of_pages(spark):
     assert url_rules.mine_rules(spark.createDataFrame(few, "url string, bad boolean")).count() == 0
 
 
+def test_pages_that_share_many_parts(spark):
+    """Each shared part is a rule; half of another site's pages are bad, so its parts are rules only together with one more."""
+    parts = "/".join(f"part{k}" for k in range(25))
+    rows = [(f"http://spam.com/{parts}/{n}", True) for n in range(12)]
+    half = "/".join(f"half{k}" for k in range(20))
+    rows += [(f"http://half.com/{half}/{'buy' if n % 2 else 'read'}/{n}", n % 2 == 1) for n in range(24)]
+    rows += [(f"http://buy.com/buy/{n}", False) for n in range(40)]
+    rules = {tuple(r.tokens): (round(r.support * len(rows)), r.confidence) for r in url_rules.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).collect()}
+    alone = {("h:spam",), *((f"p:part{k}",) for k in range(25))}
+    together = {("h:half", "p:buy"), *(("p:buy", f"p:half{k}") for k in range(20))}
+    assert rules.keys() == alone | together
+    assert set(rules.values()) == {(12, 1.0)}
+
+
 # Archives
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
