@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chunks
+from riskflow.llm.common import chunks, materialize
 
 #: Documents of each language that the model is fitted on at most, and languages at most.
 SAMPLE_DOCS, MAX_LANGUAGES = 120, 200
@@ -268,15 +268,19 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("chance"))
-    # One number for each text; only the first of each language leave a task.
-    numbers = rows.select("lang", "chance").distinct()
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("chance"))
-    first = numbers.withColumn("place", place).where(F.col("place") <= sample_docs).select("lang", "chance")
-    first = first.limit((MAX_LANGUAGES + 1) * sample_docs).collect()
-    if len({r.lang for r in first}) > MAX_LANGUAGES:
+    # One number for each text. A share of them holds about four times the sample, so few are ordered however many tasks there are.
+    numbers = materialize(rows.select("lang", "chance").distinct(), "text-numbers")
+    sizes = {r[0]: r[1] for r in numbers.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not first:
+    if not sizes:
         return fit([])
+    span = 1 << 31
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(span, 4 * (sample_docs + 25) * span // n))])
+    drawn = numbers.where(F.pmod("chance", F.lit(span)) < share[F.col("lang")])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("chance", F.lit(span)), "chance"))
+    first = drawn.withColumn("place", place).where(F.col("place") <= sample_docs).select("lang", "chance")
+    first = first.limit(MAX_LANGUAGES * sample_docs).collect()
     chosen = F.broadcast(docs.sparkSession.createDataFrame(first, "lang string, chance long"))  # of the bounded sample
     picked = rows.join(chosen, ["lang", "chance"], "left_semi").groupBy("lang", "chance").agg(F.min("text").alias("text")).collect()
     return fit([(r.text, r.lang) for r in sorted(picked, key=lambda r: (r.lang, r.chance))])
